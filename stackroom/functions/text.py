@@ -6,13 +6,22 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Runs of white space that are not already one plain space. Text without any is not rebuilt.
+UNEVEN_SPACE = r"\s{2,}|[^\S ]"
+
+
 def collapse(text: Column) -> Column:
     """Turn every run of white space into one space and drop it at the edges."""
-    return F.trim(F.regexp_replace(text, r"\s+", " "))
+    return F.trim(F.regexp_replace(text, UNEVEN_SPACE, " "))
+
+
+def empty_to_null(text: Column) -> Column:
+    """For text only. ``nullif`` works its input out once, ``when`` would do so twice."""
+    return F.nullif(text, F.lit(""))
 
 
 def blank_to_null(value: Column) -> Column:
-    # The comparison is on text, so a number or date passes through with its type.
+    """The same for a column of any type: numbers and dates pass through with their type."""
     return F.when(value.cast("string") != "", value)
 
 

@@ -37,12 +37,13 @@ class ColumnRule:
     def column(self) -> Column:
         """Clean, then parse, then cast."""
         value = field(self.source)
-        if self.trim:
-            value = F.trim(value)
         if self.collapse_spaces:
             value = text.collapse(value)
+        elif self.trim:
+            value = F.trim(value)
         if self.blank_to_null:
-            value = text.blank_to_null(value)
+            is_text = self.trim or self.collapse_spaces
+            value = text.empty_to_null(value) if is_text else text.blank_to_null(value)
         if self.lower:
             value = F.lower(value)
         if self.parse_mode:

@@ -102,6 +102,7 @@ def run_flow(
     reports_path: str,
     gate: bool = True,
     every_layer: bool = True,
+    rows_per_file: int = BRONZE_ROWS_PER_FILE,
     as_of: date | None = None,
 ) -> dict[str, int]:
     """Run from raw CSV to gold on files; returns the rows of each table written.
@@ -122,7 +123,7 @@ def run_flow(
 
     def silver(dataset, contract, standard, defaults, quality) -> DataFrame:
         raw = read_raw_csv(spark, assets.path(dataset, "raw_csv"), contract)
-        bronze = store(raw, dataset, "bronze_full", max_records_per_file=BRONZE_ROWS_PER_FILE)
+        bronze = store(raw, dataset, "bronze_full", max_records_per_file=rows_per_file)
         clean = layer(bronze.transform(standardize, standard), dataset, "silver_standardized")
         filled = layer(clean.transform(fill_defaults, defaults), dataset, "silver_defaults_filled")
         return store(filled.transform(enrich, quality), dataset, "silver_quality_enriched")

@@ -30,6 +30,16 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet", **options:
     return spark.read.format(fmt).options(**header, **options).load(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for a source that comes in far fewer pieces than there are cores.
+
+    One row group or one multi-line file is one task however long its rows take to
+    work on. A source in many pieces stays as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
+
+
 def write_table(
     df: DataFrame,
     path: str,

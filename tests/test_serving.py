@@ -1,0 +1,181 @@
+"""Serving joins, filters, selection, de-duplication, and their plans on hot keys."""
+
+import random
+
+import pytest
+
+from stackroom.operators import joins
+from stackroom.operators.checks import Check, rows_with_repeated_key
+from stackroom.operators.serving import ServingSpec, first_per_key, serve
+
+
+def spec_of(select, *joins_, **more):
+    return ServingSpec.from_dict({"serving": {"base_input": "l", "select_columns": select, "joins": list(joins_), **more}})
+
+
+def join_of(how, left_on=("k",), right_on=("k",), **more):
+    return {"right_input": "r", "left_on": list(left_on), "right_on": list(right_on), "how": how, **more}
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+@pytest.fixture(scope="module")
+def sides(spark):
+    left = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d"), (4, "e")], "k int, x string")
+    right = spark.createDataFrame([(1, "p"), (1, "q"), (3, "s"), (None, "t"), (4, "u")], "k int, y string")
+    return {"l": left, "r": right}
+
+
+def brute(left, right, how):
+    """Equi-join of two lists of (key, value), keys of right-only rows included."""
+    out, used = [], set()
+    for k, x in left:
+        hits = [i for i, (rk, _) in enumerate(right) if rk == k and k is not None]
+        used |= set(hits)
+        out += [(k, x, right[i][1]) for i in hits]
+        if not hits and how in ("left", "full"):
+            out.append((k, x, None))
+    if how in ("right", "full"):
+        out += [(k, None, y) for i, (k, y) in enumerate(right) if i not in used]
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "right", "full"])
+@pytest.mark.parametrize("hot", [False, True])
+def test_joins_with_and_without_split(sides, monkeypatch, how, hot):
+    monkeypatch.setattr(joins, "HOT_KEY_ROWS", 1 if hot else 100)
+    expected = brute(rows(sides["l"]), rows(sides["r"]), how)
+    assert rows(serve(sides, spec_of(["k", "x", "y"], join_of(how)))) == expected
+    # Other key names lose the key of right-only rows.
+    other = {"l": sides["l"], "r": sides["r"].withColumnRenamed("k", "rk")}
+    lost = sorted([(None if x is None else k, x, y) for k, x, y in expected], key=str)
+    assert rows(serve(other, spec_of(["k", "x", "y"], join_of(how, right_on=["rk"])))) == lost
+
+
+@pytest.mark.parametrize("how", ["left", "right", "full"])
+def test_split_joins_on_random_keys(spark, monkeypatch, how):
+    monkeypatch.setattr(joins, "HOT_KEY_ROWS", 3)
+    rng = random.Random(2)
+    key = lambda: rng.choice([None, 0, 0, 0, *range(12)])
+    left, right = [(key(), f"x{i}") for i in range(40)], [(key(), f"y{i}") for i in range(40)]
+    inputs = {"l": spark.createDataFrame(left, "k int, x string"), "r": spark.createDataFrame(right, "k int, y string")}
+    assert rows(serve(inputs, spec_of(["k", "x", "y"], join_of(how)))) == brute(left, right, how)
+
+
+def test_semi_anti_and_cross(sides):
+    assert rows(serve(sides, spec_of(["k", "x"], join_of("left_semi")))) == [(1, "a"), (1, "b"), (4, "e")]
+    assert rows(serve(sides, spec_of(["k", "x"], join_of("left_anti")))) == [(2, "c"), (None, "d")]
+    inner = rows(serve(sides, spec_of(["k", "x", "y"], join_of("inner"))))
+    assert rows(serve(sides, spec_of(["k", "x", "y"], join_of("cross")))) == inner
+
+
+def test_several_keys_and_joins(spark):
+    inputs = {
+        "l": spark.createDataFrame([(1, "a", 10)], "k int, x string, g int"),
+        "r": spark.createDataFrame([(1, "a", "hit"), (1, "b", "no")], "rk int, rx string, y string"),
+        "s": spark.createDataFrame([(10, "group")], "g int, name string"),
+    }
+    spec = spec_of(
+        ["k", "y", "name"],
+        join_of("left", ["k", "x"], ["rk", "rx"]),
+        {"right_input": "s", "left_on": ["g"], "right_on": ["g"]},
+    )
+    assert rows(serve(inputs, spec)) == [(1, "hit", "group")]
+
+
+def test_filters(sides):
+    keep = lambda c: {"filters": [{"column": "y", "condition": c}]}
+    assert rows(serve(sides, spec_of(["x"], join_of("left"), **keep("is_null")))) == [("c",), ("d",)]
+    assert ("c",) not in rows(serve(sides, spec_of(["x"], join_of("left"), **keep("is_not_null"))))
+
+
+def test_deduplicate(spark):
+    df = spark.createDataFrame([(1, 2, "b"), (1, 1, "c"), (1, 1, "a"), (None, 5, "z"), (None, 4, "z")], "k int, o int, v string")
+    spec = spec_of(["v", "k", "o"], deduplicate_on=["k"])
+    assert rows(serve({"l": df}, spec)) == [("a", 1, 1), ("z", None, 4)]
+    assert rows(first_per_key(df, ["k"], ["v"])) == [(1, 1, "a"), (None, 4, "z")]
+    assert rows(first_per_key(df, ["k", "o", "v"])) == rows(df)
+    maps = df.selectExpr("k", "map('v', v) m")
+    assert first_per_key(maps, ["k"]).count() == 2
+
+
+def test_serving_validation(sides):
+    for select, extra in (([], {}), (["nothing"], {}), (["x"], {"filters": [{"column": "x", "condition": "is_odd"}]})):
+        with pytest.raises(ValueError):
+            serve(sides, spec_of(select, **extra))
+    with pytest.raises(ValueError):
+        ServingSpec.from_dict({"serving": {"select_columns": ["x"]}})
+    with pytest.raises(ValueError):
+        serve({}, spec_of(["x"]))
+    with pytest.raises(ValueError):
+        spec_of(["x"], join_of("left", ["k", "x"], ["k"]))
+    with pytest.raises(ValueError):
+        serve(sides, spec_of(["x"], join_of("left", ["q"], ["q"])))
+    with pytest.raises(ValueError):
+        serve(sides, spec_of(["x"], join_of("left", right_select_columns=["y"])))
+    with pytest.raises(ValueError):
+        serve(sides, spec_of(["x"], deduplicate_on=["k"]))
+
+
+def test_shared_names_must_not_be_used(sides):
+    right = sides["r"].withColumnRenamed("y", "x")
+    inputs = {"l": sides["l"], "r": right}
+    with pytest.raises(ValueError, match="more than one input"):
+        serve(inputs, spec_of(["x"], join_of("left")))
+    assert serve(inputs, spec_of(["k"], join_of("left"))).count() == 7
+
+
+# --- hot keys ---------------------------------------------------------------------------------
+
+
+@pytest.fixture
+def small_skew(spark):
+    """Make adaptive execution treat kilobytes as it would treat gigabytes."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name in settings:
+        spark.conf.unset(name)
+
+
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def hot_rows(spark):
+    """A third of the rows share a key."""
+    return spark.range(0, 30000, 1, 16).selectExpr("if(id % 3 = 0, 9, id) k", "concat('row ', id) x")
+
+
+def test_join_with_an_aggregate_splits_a_hot_key(spark, small_skew):
+    keyed = hot_rows(spark).groupBy("k").count()
+    assert "skew=true" in final_plan(joins.join_per_key(hot_rows(spark), keyed, ["k"]))
+    plain = final_plan(hot_rows(spark).join(keyed, "k", "left"))
+    assert "skew=true" not in plain, "Spark now splits this by itself: join_per_key can go"
+
+
+def test_repeated_key_rows_split_a_hot_key(spark, small_skew):
+    out = rows_with_repeated_key(hot_rows(spark), Check("u", "duplicate_key", "warning", key_columns=("k",)))
+    assert "skew=true" in final_plan(out)
+    assert out.count() == 10000
+
+
+@pytest.mark.parametrize("how", ["left", "right", "full"])
+def test_outer_joins_split_a_hot_key_on_either_side(spark, small_skew, monkeypatch, how):
+    monkeypatch.setattr(joins, "HOT_KEY_ROWS", 5000)
+    few = spark.range(20).selectExpr("id k", "id y")
+    sides = (few, hot_rows(spark)) if how == "left" else (hot_rows(spark), few)
+    out = joins.equi_join(*sides, ["k"], how)
+    native = sides[0].join(sides[1], "k", how)
+    assert "skew=true" in final_plan(out)
+    assert out.exceptAll(native).count() == native.exceptAll(out).count() == 0
