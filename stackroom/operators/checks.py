@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Collection, Sequence
+from dataclasses import dataclass, replace
 from datetime import date
 from typing import Any
 
@@ -111,6 +111,10 @@ class CheckSuite:
     def key_checks(self) -> list[Check]:
         return [c for c in self.checks if c.type == DUPLICATE_KEY]
 
+    def only(self, names: Collection[str]) -> CheckSuite:
+        """The suite cut down to the named checks."""
+        return replace(self, checks=tuple(c for c in self.checks if c.name in names))
+
     def require(self, df: DataFrame) -> None:
         for check in self.checks:
             require_columns(df, check.reads, f"check {check.name!r}")

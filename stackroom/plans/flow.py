@@ -6,6 +6,7 @@ from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stackroom.operators import reports
 from stackroom.operators.checks import enforce, failed_samples, summarize
@@ -128,14 +129,22 @@ def run_flow(
         filled = layer(clean.transform(fill_defaults, defaults), dataset, "silver_defaults_filled")
         return store(filled.transform(enrich, quality), dataset, "silver_quality_enriched")
 
+    def stored_summary(df: DataFrame, path: str) -> DataFrame:
+        write_summary(df, path, "parquet")
+        return spark.read.parquet(path)
+
+    def no_samples(df: DataFrame) -> DataFrame:
+        return df.limit(0).withColumn("check_name", F.lit(""))
+
     def check(df: DataFrame, suite) -> None:
-        summary = summarize(df, suite, as_of)
+        """Failing rows are looked for only where the summary has some."""
         folder = f"{reports_path}/{suite.dataset_name}"
-        written[f"{suite.dataset_name}/summary"] = write_summary(summary, f"{folder}/summary", "parquet")
-        samples = failed_samples(df, suite, as_of=as_of)
+        summary = stored_summary(summarize(df, suite, as_of), f"{folder}/summary")
+        failed = {row.check_name for row in summary.filter("status = 'failed'").collect()}
+        samples = failed_samples(df, suite.only(failed), as_of=as_of) if failed else no_samples(df)
         written[f"{suite.dataset_name}/failed_rows"] = write_failed_rows(samples, f"{folder}/failed_rows", "parquet")
         if gate:
-            enforce(spark.read.parquet(f"{folder}/summary"))
+            enforce(summary)
 
     books = silver(BOOKS, rules.BOOKS_CONTRACT, rules.BOOKS_SILVER, rules.BOOKS_DEFAULTS, rules.BOOKS_QUALITY)
     good = store(eligible(books, rules.BOOKS_QUARANTINE), BOOKS, "silver_eligible")
@@ -148,11 +157,11 @@ def run_flow(
     check(reviews, rules.REVIEWS_CHECKS)
 
     folder = f"{reports_path}/relationship"
-    write_summary(coverage(reviews, good, rules.TITLE_RELATIONSHIP), f"{folder}/summary", "parquet")
+    summary = stored_summary(coverage(reviews, good, rules.TITLE_RELATIONSHIP), f"{folder}/summary")
     missing = missing_key_sample(reviews, good, rules.TITLE_RELATIONSHIP)
     written["relationship/missing_keys"] = write_summary(missing, f"{folder}/failed_rows", "parquet")
     if gate:
-        enforce(spark.read.parquet(f"{folder}/summary"))
+        enforce(summary)
 
     gold = gold_of(good, reviews)
     store(gold.books, BOOKS, "gold_books_serving_da")
