@@ -19,6 +19,11 @@ SEVERITIES = ("critical", "warning")
 DUPLICATE_KEY = "duplicate_key"
 DEFAULT_SAMPLE = 100
 
+SUMMARY_SCHEMA = """
+    dataset_name string, quality_dimension string, check_name string, check_type string, severity string,
+    status string, total_rows long, passed_rows long, failed_rows long, failed_pct double
+"""
+
 # A sample is first cut within this many lanes, then across them.
 SAMPLE_LANES = 256
 

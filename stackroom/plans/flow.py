@@ -6,20 +6,18 @@ from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from stackroom.operators import reports
-from stackroom.operators.checks import enforce, failed_samples, summarize
 from stackroom.operators.defaults import fill_defaults
 from stackroom.operators.enrich import enrich
 from stackroom.operators.quarantine import eligible, rejects
-from stackroom.operators.relationship import coverage, missing_key_sample
 from stackroom.operators.serving import serve
 from stackroom.operators.standardize import standardize
 from stackroom.plans import bookstore as rules
 from stackroom.plans.bookstore import BOOKS, REVIEWS
+from stackroom.plans.jobs import report_checks, report_relationship
 from stackroom.sources.raw_csv import read_raw_csv
-from stackroom.sources.tables import BRONZE_ROWS_PER_FILE, Assets, write_failed_rows, write_summary
+from stackroom.sources.tables import BRONZE_ROWS_PER_FILE, Assets
 
 
 def silver_books(raw: DataFrame) -> DataFrame:
@@ -129,22 +127,11 @@ def run_flow(
         filled = layer(clean.transform(fill_defaults, defaults), dataset, "silver_defaults_filled")
         return store(filled.transform(enrich, quality), dataset, "silver_quality_enriched")
 
-    def stored_summary(df: DataFrame, path: str) -> DataFrame:
-        write_summary(df, path, "parquet")
-        return spark.read.parquet(path)
-
-    def no_samples(df: DataFrame) -> DataFrame:
-        return df.limit(0).withColumn("check_name", F.lit(""))
-
     def check(df: DataFrame, suite) -> None:
-        """Failing rows are looked for only where the summary has some."""
         folder = f"{reports_path}/{suite.dataset_name}"
-        summary = stored_summary(summarize(df, suite, as_of), f"{folder}/summary")
-        failed = {row.check_name for row in summary.filter("status = 'failed'").collect()}
-        samples = failed_samples(df, suite.only(failed), as_of=as_of) if failed else no_samples(df)
-        written[f"{suite.dataset_name}/failed_rows"] = write_failed_rows(samples, f"{folder}/failed_rows", "parquet")
-        if gate:
-            enforce(summary)
+        paths = (f"{folder}/summary", f"{folder}/failed_rows")
+        counts = report_checks(df, suite, *paths, "parquet", "parquet", gate=gate, as_of=as_of)
+        written.update({f"{suite.dataset_name}/{name}": rows for name, rows in counts.items()})
 
     books = silver(BOOKS, rules.BOOKS_CONTRACT, rules.BOOKS_SILVER, rules.BOOKS_DEFAULTS, rules.BOOKS_QUALITY)
     good = store(eligible(books, rules.BOOKS_QUARANTINE), BOOKS, "silver_eligible")
@@ -157,11 +144,9 @@ def run_flow(
     check(reviews, rules.REVIEWS_CHECKS)
 
     folder = f"{reports_path}/relationship"
-    summary = stored_summary(coverage(reviews, good, rules.TITLE_RELATIONSHIP), f"{folder}/summary")
-    missing = missing_key_sample(reviews, good, rules.TITLE_RELATIONSHIP)
-    written["relationship/missing_keys"] = write_summary(missing, f"{folder}/failed_rows", "parquet")
-    if gate:
-        enforce(summary)
+    paths = (f"{folder}/summary", f"{folder}/failed_rows")
+    counts = report_relationship(reviews, good, rules.TITLE_RELATIONSHIP, *paths, "parquet", "parquet", gate=gate)
+    written.update({f"relationship/{name}": rows for name, rows in counts.items()})
 
     gold = gold_of(good, reviews)
     store(gold.books, BOOKS, "gold_books_serving_da")

@@ -288,8 +288,8 @@ ORACLE_SQL: dict[str, str] = {
  CAST(year({_date("published_date_raw")}) AS INTEGER) AS published_year,
  TRY_CAST(ratings_count_raw AS DOUBLE) AS ratings_count FROM raw_books"""
     ),
-    "fill_books": _with("SELECT title, authors, publisher, categories FROM silver_books"),
-    "fill_reviews": _with(
+    "fill_defaults": _with("SELECT title, authors, publisher, categories FROM silver_books"),
+    "fill_defaults_raw": _with(
         """SELECT review_no, review_line,
  CASE WHEN coalesce(trim(user_id, ' '), '') = '' THEN 'anonymous' ELSE user_id END AS user_id,
  CASE WHEN coalesce(trim(profile_name, ' '), '') = '' THEN 'anonymous' ELSE profile_name END AS profile_name
@@ -414,7 +414,7 @@ ORACLE_SQL: dict[str, str] = {
     "relationship_sample": _with(
         f"SELECT relationship_key FROM ({_missing_keys()}) ORDER BY relationship_key LIMIT 20"
     ),
-    "table_profiles": _with(_union(*_profile(SB, BOOK_TYPES), *_profile(SR, REVIEW_TYPES))),
+    "table_profile": _with(_union(*_profile(SB, BOOK_TYPES), *_profile(SR, REVIEW_TYPES))),
     "table_head": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 20",
     "serve_books_analytics": _with(
         """SELECT title, description, authors, publisher, published_date, categories, ratings_count, completeness_score

@@ -29,14 +29,17 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(build: Query) -> Query:
-    """Register a query under its function name. Epoch seconds are read as UTC."""
+    """Register a query under its function name; an underscore at the end only keeps an operator's name free.
+
+    Epoch seconds are read as UTC.
+    """
 
     @wraps(build)
     def run(spark: SparkSession, folder: str) -> DataFrame:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
         return without_zone(build(spark, folder))
 
-    QUERIES[build.__name__] = run
+    QUERIES[build.__name__.removesuffix("_")] = run
     return run
 
 
@@ -117,13 +120,13 @@ def standardize_append(spark, folder):
 
 
 @query
-def fill_books(spark, folder):
+def fill_defaults_(spark, folder):
     books = standardize(raw_books(spark, folder), rules.BOOKS_SILVER)
     return fill_defaults(books, rules.BOOKS_DEFAULTS).select("title", "authors", "publisher", "categories")
 
 
 @query
-def fill_reviews(spark, folder):
+def fill_defaults_raw(spark, folder):
     """Defaults on raw columns: blanks are filled too, other edges stay."""
     reviews = raw_reviews(spark, folder)
     return fill_defaults(reviews, rules.REVIEWS_DEFAULTS).select("review_no", "review_line", "user_id", "profile_name")
@@ -342,7 +345,7 @@ def relationship_sample(spark, folder):
 
 
 @query
-def table_profiles(spark, folder):
+def table_profile_(spark, folder):
     books, reviews = _both(spark, folder)
     return table_profile(books.drop("title_hash")).unionAll(table_profile(reviews.drop("title_hash")))
 
