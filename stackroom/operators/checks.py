@@ -208,11 +208,11 @@ def failed_rows(df: DataFrame, suite: CheckSuite, as_of: date | None = None) ->
         for c in suite.key_checks
     ]
     if suite.row_checks:
-        outcomes = {c.name: ROW_FAILURES[c.type](c, _today(as_of)) for c in suite.row_checks}
-        failing = F.array_compact(F.array(*[F.when(bad, F.lit(name)) for name, bad in outcomes.items()]))
+        outcomes = [(c.name, ROW_FAILURES[c.type](c, _today(as_of))) for c in suite.row_checks]
+        failing = F.array_compact(F.array(*[F.when(bad, F.lit(name)) for name, bad in outcomes]))
         parts.insert(
             0,
-            df.filter(any_of(outcomes.values())).select(
+            df.filter(any_of(bad for _, bad in outcomes)).select(
                 F.explode(failing).alias("check_name"), *[field(n) for n in df.columns]
             ),
         )

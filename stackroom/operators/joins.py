@@ -12,10 +12,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stackroom.functions.columns import field
+from stackroom.functions.columns import all_of, field
 
-# A key with more rows than this on a side that cannot be split is hot.
+# A key with more rows than this on a side that cannot be split is hot. Keys beyond the
+# heaviest ones hold a ten-thousandth of the rows at most and need no care.
 HOT_KEY_ROWS = 1_000_000
+MOST_HOT_KEYS = 10_000
 
 # Sides that adaptive execution cannot split, by join type.
 UNSPLIT_SIDES = {
@@ -44,35 +46,61 @@ def join_per_key(rows: DataFrame, keyed: DataFrame, on: Sequence[str], how: str
     return joined.drop("__check")
 
 
-def rows_of_heaviest_key(df: DataFrame, keys: Sequence[str]) -> int:
-    """Largest number of rows that share a key. Counted map-side first; one number returns."""
-    return df.groupBy(*[field(k) for k in keys]).count().agg(F.max("count")).first()[0] or 0
-
-
 def equi_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    """Join on columns both sides have, keeping one copy of them, key columns first."""
+    """Join on columns both sides have, keeping one copy of them, key columns first.
+
+    Outer joins first look for hot keys on the sides that could not be split. If
+    there are any, their rows are joined apart from all others.
+    """
     keys = list(keys)
     unsplit = UNSPLIT_SIDES.get(how.lower().replace("_", ""), ())
     sides = {"left": left, "right": right}
-    if any(rows_of_heaviest_key(sides[side], keys) > HOT_KEY_ROWS for side in unsplit):
-        return split_outer_join(left, right, keys, keep_left="right" in unsplit, keep_right="left" in unsplit)
-    return left.join(right, on=keys, how=how)
+    hot = {key for side in unsplit for key in hot_keys(sides[side], keys)}
+    if not hot:
+        return left.join(right, on=keys, how=how)
+
+    names = [field(k) for k in keys]
+    common_types = left.select(*names).unionAll(right.select(*names)).schema
+    listed = left.sparkSession.createDataFrame(list(hot), common_types)
+    cold = _rows_of(left, listed, "left_anti").join(_rows_of(right, listed, "left_anti"), on=keys, how=how)
+    warm = _join_hot(
+        _rows_of(left, listed, "left_semi"),
+        _rows_of(right, listed, "left_semi"),
+        keys,
+        keep_left="right" in unsplit,
+        keep_right="left" in unsplit,
+    )
+    return cold.unionByName(warm)
+
 
+def hot_keys(df: DataFrame, keys: Sequence[str]) -> list[tuple]:
+    """The heaviest keys, nulls included, if they are hot. Rows are counted map-side first."""
+    counted = df.groupBy(*[field(k) for k in keys]).agg(F.count(F.lit(1)).alias("__rows"))
+    heaviest = counted.filter(F.col("__rows") > HOT_KEY_ROWS).orderBy(F.desc("__rows")).limit(MOST_HOT_KEYS)
+    return [tuple(row) for row in heaviest.drop("__rows").collect()]
 
-def split_outer_join(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], keep_left: bool, keep_right: bool
-) -> DataFrame:
-    """An outer join as its matches plus the unmatched rows of the kept sides.
 
-    Inner joins can be split on both sides and anti joins on their left, so no
-    key is too heavy for either part. The shuffle of a kept side is shared.
+def _rows_of(df: DataFrame, listed: DataFrame, how: str) -> DataFrame:
+    """Rows with (semi) or without (anti) a listed key; the list is short. Null counts as a key."""
+    renamed = listed.toDF(*[f"__hot_{i}" for i in range(len(listed.columns))])
+    same = all_of(field(k).eqNullSafe(F.col(f"__hot_{i}")) for i, k in enumerate(listed.columns))
+    return df.join(F.broadcast(renamed), same, how)
+
+
+def _join_hot(left: DataFrame, right: DataFrame, keys: list[str], keep_left: bool, keep_right: bool) -> DataFrame:
+    """An outer join over few keys: its matches, plus rows whose key the other side lacks.
+
+    The inner join can be split on both sides. Keys of the other side are few, so
+    the unmatched rows are found without a shuffle.
     """
-    keys = list(keys)
+
+    def lone(df: DataFrame, other: DataFrame) -> DataFrame:
+        present = other.select(*[field(k) for k in keys]).distinct()
+        return df.join(F.broadcast(present), on=keys, how="left_anti")
+
     out = left.join(right, on=keys, how="inner")
     if keep_left:
-        lone = left.join(right.select(*[field(k) for k in keys]), on=keys, how="left_anti")
-        out = out.unionByName(lone, allowMissingColumns=True)
+        out = out.unionByName(lone(left, right), allowMissingColumns=True)
     if keep_right:
-        lone = right.join(left.select(*[field(k) for k in keys]), on=keys, how="left_anti")
-        out = out.unionByName(lone, allowMissingColumns=True)
+        out = out.unionByName(lone(right, left), allowMissingColumns=True)
     return out

@@ -57,7 +57,10 @@ class ServingSpec:
 
         def join(options: dict[str, Any]) -> JoinSpec:
             known = known_options(JoinSpec, options)
-            return JoinSpec(**{k: tuple(v) if isinstance(v, list) else v for k, v in known.items()})
+            for name in ("left_on", "right_on", "right_select_columns"):
+                if name in known:
+                    known[name] = (known[name],) if isinstance(known[name], str) else tuple(known[name])
+            return JoinSpec(**known)
 
         return cls(
             base_input=serving.get("base_input", ""),

@@ -64,6 +64,23 @@ def test_split_joins_on_random_keys(spark, monkeypatch, how):
     assert rows(serve(inputs, spec_of(["k", "x", "y"], join_of(how)))) == brute(left, right, how)
 
 
+@pytest.mark.parametrize("how", ["left", "right", "full"])
+def test_split_joins_on_two_keys_of_other_types(spark, monkeypatch, how):
+    monkeypatch.setattr(joins, "HOT_KEY_ROWS", 4)
+    rng = random.Random(9)
+    key = lambda: (rng.choice([None, 0, 0, 1]), rng.choice([None, "a", "a", "b", "c"]))
+    left, right = [(*key(), f"x{i}") for i in range(50)], [(*key(), f"y{i}") for i in range(50)]
+    inputs = {
+        "l": spark.createDataFrame(left, "k int, g string, x string"),
+        "r": spark.createDataFrame(right, "k long, g string, y string"),
+    }
+    # A pair with a null in it matches nothing, so each gets an id of its own.
+    pair = lambda k, g, i: (k, g) if None not in (k, g) else (k, g, i)
+    expected = brute([(pair(*r), r[2]) for r in left], [(pair(*r), r[2]) for r in right], how)
+    spec = spec_of(["k", "g", "x", "y"], join_of(how, ["k", "g"], ["k", "g"]))
+    assert rows(serve(inputs, spec)) == sorted([(*k[:2], x, y) for k, x, y in expected], key=str)
+
+
 def test_semi_anti_and_cross(sides):
     assert rows(serve(sides, spec_of(["k", "x"], join_of("left_semi")))) == [(1, "a"), (1, "b"), (4, "e")]
     assert rows(serve(sides, spec_of(["k", "x"], join_of("left_anti")))) == [(2, "c"), (None, "d")]
