@@ -9,6 +9,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from stackroom.functions.columns import all_of, any_of, field, row_hash
 from stackroom.functions.scoring import percent
@@ -77,18 +78,32 @@ def _today(as_of: date | None) -> Column:
     return F.lit(as_of) if as_of else F.current_date()
 
 
-# Types that look at one row at a time: when does a row fail? A null outcome passes.
-ROW_FAILURES: dict[str, Callable[[Check, Column], Column]] = {
-    "not_null": lambda c, today: field(c.column).isNull(),
-    "non_negative": lambda c, today: field(c.column) < 0,
-    "value_in_set": lambda c, today: ~field(c.column).isin(list(c.allowed_values)),
-    "not_in_future": lambda c, today: field(c.column) > today,
-    "requires_when_present": lambda c, today: (
+def _allowed(check: Check, is_text: bool) -> list:
+    return [str(v) if is_text else v for v in check.allowed_values]
+
+
+def _day(check: Check, is_text: bool) -> Column:
+    return field(check.column).try_cast("date") if is_text else field(check.column)
+
+
+# Types that look at one row at a time: when does a row fail? A null outcome passes, and so
+# does text that is no number or date (tables read from CSV are all text).
+ROW_FAILURES: dict[str, Callable[[Check, Column, bool], Column]] = {
+    "not_null": lambda c, today, is_text: field(c.column).isNull(),
+    "non_negative": lambda c, today, is_text: field(c.column).try_cast("double") < 0,
+    "value_in_set": lambda c, today, is_text: ~field(c.column).isin(_allowed(c, is_text)),
+    "not_in_future": lambda c, today, is_text: _day(c, is_text) > today,
+    "requires_when_present": lambda c, today, is_text: (
         field(c.when_present_column).isNotNull() & field(c.required_column).isNull()
     ),
 }
 
 
+def _failure(df: DataFrame, check: Check, as_of: date | None) -> Column:
+    is_text = bool(check.column) and isinstance(df.schema[check.column].dataType, StringType)
+    return ROW_FAILURES[check.type](check, _today(as_of), is_text)
+
+
 @dataclass(frozen=True)
 class CheckSuite:
     checks: tuple[Check, ...]
@@ -130,7 +145,7 @@ def summarize(df: DataFrame, suite: CheckSuite, as_of: date | None = None) -> Da
     suite.require(df)
     counts = [_key_counts(df, check) for check in suite.key_checks]
     if suite.row_checks:
-        counts.insert(0, _row_counts(df, suite.row_checks, _today(as_of)))
+        counts.insert(0, _row_counts(df, suite.row_checks, as_of))
     counted = counts[0]
     for other in counts[1:]:
         counted = counted.unionAll(other)
@@ -159,8 +174,8 @@ def _labels(check: Check) -> list[Column]:
     ]
 
 
-def _row_counts(df: DataFrame, checks: Sequence[Check], today: Column) -> DataFrame:
-    failures = [F.count_if(ROW_FAILURES[c.type](c, today)).alias(f"failed_{i}") for i, c in enumerate(checks)]
+def _row_counts(df: DataFrame, checks: Sequence[Check], as_of: date | None) -> DataFrame:
+    failures = [F.count_if(_failure(df, c, as_of)).alias(f"failed_{i}") for i, c in enumerate(checks)]
     per_check = [
         F.struct(*_labels(c), F.col("total_rows"), F.col(f"failed_{i}").alias("failed_rows"))
         for i, c in enumerate(checks)
@@ -197,7 +212,7 @@ def failed_rows_of(df: DataFrame, check: Check, as_of: date | None = None) -> Da
     require_columns(df, check.reads, f"check {check.name!r}")
     if check.type == DUPLICATE_KEY:
         return rows_with_repeated_key(df, check)
-    return df.filter(ROW_FAILURES[check.type](check, _today(as_of)))
+    return df.filter(_failure(df, check, as_of))
 
 
 def failed_rows(df: DataFrame, suite: CheckSuite, as_of: date | None = None) -> DataFrame:
@@ -208,7 +223,7 @@ def failed_rows(df: DataFrame, suite: CheckSuite, as_of: date | None = None) ->
         for c in suite.key_checks
     ]
     if suite.row_checks:
-        outcomes = [(c.name, ROW_FAILURES[c.type](c, _today(as_of))) for c in suite.row_checks]
+        outcomes = [(c.name, _failure(df, c, as_of)) for c in suite.row_checks]
         failing = F.array_compact(F.array(*[F.when(bad, F.lit(name)) for name, bad in outcomes]))
         parts.insert(
             0,

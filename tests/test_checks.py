@@ -97,6 +97,23 @@ def test_future_defaults_to_the_current_date(spark):
     assert summarize(df, suite).first().failed_rows == 1
 
 
+def test_text_tables_can_be_checked(spark):
+    rows = [("-1.5", "1", "2030-01-01"), ("x", "1.0", "no date"), ("2", None, "2020-06-01"), (None, "7", None)]
+    df = spark.createDataFrame(rows, "price string, score string, day string")
+    suite = CheckSuite(
+        (
+            Check("positive", "non_negative", "warning", column="price"),
+            Check("allowed", "value_in_set", "warning", column="score", allowed_values=(1, 2)),
+            Check("past", "not_in_future", "warning", column="day"),
+        )
+    )
+    assert {r.check_name: r.failed_rows for r in summarize(df, suite, TODAY).collect()} == {
+        "positive": 1,
+        "allowed": 2,
+        "past": 1,
+    }
+
+
 def test_failed_rows_agree_with_the_summary(df):
     found = {}
     for r in failed_rows(df, SUITE, TODAY).collect():
