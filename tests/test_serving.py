@@ -7,6 +7,7 @@ import pytest
 from stackroom.operators import joins
 from stackroom.operators.checks import Check, rows_with_repeated_key
 from stackroom.operators.serving import ServingSpec, first_per_key, serve
+from stackroom.operators.surrogate import SurrogateKey, assign_keys
 
 
 def spec_of(select, *joins_, **more):
@@ -196,3 +197,18 @@ def test_outer_joins_split_a_hot_key_on_either_side(spark, small_skew, monkeypat
     native = sides[0].join(sides[1], "k", how)
     assert "skew=true" in final_plan(out)
     assert out.exceptAll(native).count() == native.exceptAll(out).count() == 0
+
+
+def test_left_join_splits_hot_nulls(spark, small_skew):
+    rows_ = hot_rows(spark).selectExpr("nullif(k, 9) k", "x")
+    other = spark.range(0, 2000, 1, 4).selectExpr("id k", "id * 2 y")
+    out = joins.equi_join(rows_, other, ["k"], "left")
+    assert "skew=true" in final_plan(out)
+    assert out.count() == 30000
+
+
+def test_surrogate_keys_split_hot_nulls(spark, small_skew):
+    rows_ = hot_rows(spark).selectExpr("nullif(k, 9) k", "x")
+    out = assign_keys(rows_, SurrogateKey("k", "n"))
+    assert "skew=true" in final_plan(out)
+    assert out.filter("n IS NULL").count() == 10000
