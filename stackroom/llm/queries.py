@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality_rules, secrets
+from . import byte_bpe, decontaminate, quality_cnn, quality_rules, secrets, warc
 from .common import shared_folder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,3 +31,29 @@ def op1_risk_rules(spark, folder):
 def op3_blob_ledger(spark, folder):
     found = secrets.scan_versions(table(spark, folder, "documents"), shared_folder(spark, "secret-ledger"))
     return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "blob")
+
+
+@query
+def op2_byte_cnn(spark, folder):
+    return quality_cnn.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op7_prefix_windows(spark, folder):
+    found = decontaminate.decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    items = F.size("items").cast("long").alias("n_items")
+    digest = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
+    return found.select("doc_id", "n_words", "n_hit", items, digest, "contaminated")
+
+
+@query
+def op8_dictionary_warc(spark, folder):
+    read = warc.new_archive(table(spark, folder, "pages"), shared_folder(spark, "warc"))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
+
+
+@query
+def op10_folded_bpe(spark, folder):
+    spec = byte_bpe.BpeSpec(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    coded = byte_bpe.encode_documents(table(spark, folder, "documents"), spec)
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
