@@ -102,7 +102,8 @@ def candidates(docs: DataFrame, rare: DataFrame, spec: DecontaminateSpec) -> Dat
         placed.join(F.broadcast(part), "h").where(fits).where(token(F.get("w", start + F.col("at2"))) == F.col("h2"))
         for part in blocks(rare, "h", spec.block_rows)
     ]
-    key = ascii_lower(F.array_join(F.slice("w", start + 1, F.col("len")), " "))
+    # Spark may compute the words before it has tested the start.
+    key = ascii_lower(F.array_join(F.slice("w", F.greatest(start, F.lit(0)) + 1, F.col("len")), " "))
     if not found:
         none = placed.select("doc_id", "text_hash", "pos").limit(0)
         return none.select("doc_id", "text_hash", F.col("pos").alias("start"), F.col("pos").alias("len"), F.lit("").alias("key"))
