@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontaminate, quality_cnn, quality_rules, secrets, warc
+from . import bwt_dedup, byte_bpe, decontaminate, jaccard_join, quality_cnn, quality_rules, secrets, warc
 from .common import shared_folder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,3 +57,14 @@ def op10_folded_bpe(spark, folder):
     spec = byte_bpe.BpeSpec(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
     coded = byte_bpe.encode_documents(table(spark, folder, "documents"), spec)
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op5_heavy_light_join(spark, folder):
+    return jaccard_join.link_classes(table(spark, folder, "documents"))
+
+
+@query
+def op4_bwt_merge(spark, folder):
+    left = bwt_dedup.remove_repeats(table(spark, folder, "documents"))
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
