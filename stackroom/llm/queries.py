@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bwt_dedup, byte_bpe, decontaminate, jaccard_join, quality_cnn, quality_rules, secrets, warc
+from . import bwt_dedup, byte_bpe, compact_windows, decontaminate, jaccard_join, quality_cnn, quality_rules, secrets, warc
 from .common import shared_folder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,3 +68,8 @@ def op5_heavy_light_join(spark, folder):
 def op4_bwt_merge(spark, folder):
     left = bwt_dedup.remove_repeats(table(spark, folder, "documents"))
     return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op6_compact_windows(spark, folder):
+    return compact_windows.repeated_passages(table(spark, folder, "documents"))
