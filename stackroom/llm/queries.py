@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bwt_dedup, byte_bpe, compact_windows, decontaminate, jaccard_join, quality_cnn, quality_rules, secrets, warc
+from . import bwt_dedup, byte_bpe, compact_windows, decontaminate, jaccard_join, license_scan, quality_cnn, quality_rules, secret_scan, warc
 from .common import shared_folder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,7 +29,7 @@ def op1_risk_rules(spark, folder):
 
 @query
 def op3_blob_ledger(spark, folder):
-    found = secrets.scan_versions(table(spark, folder, "documents"), shared_folder(spark, "secret-ledger"))
+    found = secret_scan.scan_versions(table(spark, folder, "documents"), shared_folder(spark, "secret-ledger"))
     return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "blob")
 
 
@@ -73,3 +73,8 @@ def op4_bwt_merge(spark, folder):
 @query
 def op6_compact_windows(spark, folder):
     return compact_windows.repeated_passages(table(spark, folder, "documents"))
+
+
+@query
+def op9_patience_licenses(spark, folder):
+    return license_scan.scan_licenses(table(spark, folder, "documents"))
