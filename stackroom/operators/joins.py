@@ -2,7 +2,13 @@
 
 Adaptive execution splits a hot partition of a sort-merge join, with two limits:
 both inputs must come straight from a shuffle, and in an outer join only the kept
-side can be split. The helpers here shape joins so that it always can.
+side can be split. The helpers here put joins into shapes that meet both, the same
+at every size, and run nothing while a join is built.
+
+One case is left to a setting. An input that is placed by the join keys already,
+because it was just joined or grouped by them, is not shuffled again, and Spark does
+not split it unless ``spark.sql.adaptive.forceOptimizeSkewedJoin`` is on. Turn it on
+for chains of joins on one key.
 """
 
 from __future__ import annotations
@@ -12,23 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stackroom.functions.columns import all_of, field
-
-# A key with more rows than this on a side that cannot be split is hot. Keys beyond the
-# heaviest ones hold a ten-thousandth of the rows at most and need no care.
-HOT_KEY_ROWS = 1_000_000
-MOST_HOT_KEYS = 10_000
-
-# Sides that adaptive execution cannot split, by join type.
-UNSPLIT_SIDES = {
-    "left": ("right",),
-    "leftouter": ("right",),
-    "right": ("left",),
-    "rightouter": ("left",),
-    "full": ("left", "right"),
-    "outer": ("left", "right"),
-    "fullouter": ("left", "right"),
-}
+from stackroom.functions.columns import field
 
 
 def join_per_key(rows: DataFrame, keyed: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
@@ -37,8 +27,12 @@ def join_per_key(rows: DataFrame, keyed: DataFrame, on: Sequence[str], how: str
     The aggregate is already placed by its key, so Spark would shuffle only the
     rows and then could not split a hot key. A second equality, on a hash of the
     key, does not fit that placement: the (smaller) aggregate is shuffled too and
-    both inputs come from a shuffle.
+    both inputs come from a shuffle. Keys of two types have no hash in common; the
+    aggregate is then dealt out first, which undoes its placement as well.
     """
+    if any(rows.schema[k].dataType != keyed.schema[k].dataType for k in on):
+        parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return rows.join(keyed.repartition(parts), on=list(on), how=how)
     check = F.xxhash64(*[field(k) for k in on])
     joined = rows.withColumn("__check", check).join(
         keyed.withColumn("__check", check), on=[*on, "__check"], how=how
@@ -46,61 +40,42 @@ def join_per_key(rows: DataFrame, keyed: DataFrame, on: Sequence[str], how: str
     return joined.drop("__check")
 
 
-def equi_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+def equi_join(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, right_unique: bool = False
+) -> DataFrame:
     """Join on columns both sides have, keeping one copy of them, key columns first.
 
-    Outer joins first look for hot keys on the sides that could not be split. If
-    there are any, their rows are joined apart from all others.
+    An outer join is its matches (an inner join can be split on both sides) and the
+    rows of each kept side whose key the other side lacks, found against the other
+    side's distinct keys. Semi and anti joins look at distinct keys alike. If no key
+    of the right side repeats, ``right_unique`` spares the left side its second shuffle.
     """
     keys = list(keys)
-    unsplit = UNSPLIT_SIDES.get(how.lower().replace("_", ""), ())
-    sides = {"left": left, "right": right}
-    hot = {key for side in unsplit for key in hot_keys(sides[side], keys)}
-    if not hot:
+    kind = how.lower().replace("_", "").removesuffix("outer")
+    if kind in ("leftsemi", "semi", "leftanti", "anti"):
+        return _by_presence(left, right, keys, "left_anti" if "anti" in kind else "left_semi")
+    if kind == "left" and right_unique:
+        return join_per_key(left, right, keys, "left")
+    if kind not in ("left", "right", "full"):
         return left.join(right, on=keys, how=how)
 
-    names = [field(k) for k in keys]
-    common_types = left.select(*names).unionAll(right.select(*names)).schema
-    listed = left.sparkSession.createDataFrame(list(hot), common_types)
-    cold = _rows_of(left, listed, "left_anti").join(_rows_of(right, listed, "left_anti"), on=keys, how=how)
-    warm = _join_hot(
-        _rows_of(left, listed, "left_semi"),
-        _rows_of(right, listed, "left_semi"),
-        keys,
-        keep_left="right" in unsplit,
-        keep_right="left" in unsplit,
-    )
-    return cold.unionByName(warm)
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str]) -> list[tuple]:
-    """The heaviest keys, nulls included, if they are hot. Rows are counted map-side first."""
-    counted = df.groupBy(*[field(k) for k in keys]).agg(F.count(F.lit(1)).alias("__rows"))
-    heaviest = counted.filter(F.col("__rows") > HOT_KEY_ROWS).orderBy(F.desc("__rows")).limit(MOST_HOT_KEYS)
-    return [tuple(row) for row in heaviest.drop("__rows").collect()]
+    # Analysed only: the types and the order of columns that Spark's own join would give.
+    wanted = left.join(right, on=keys, how=how).schema
 
+    def shaped(df: DataFrame) -> DataFrame:
+        present = set(df.columns)
+        columns = [field(c.name) if c.name in present else F.lit(None) for c in wanted]
+        return df.select(*[column.cast(c.dataType).alias(c.name) for column, c in zip(columns, wanted)])
 
-def _rows_of(df: DataFrame, listed: DataFrame, how: str) -> DataFrame:
-    """Rows with (semi) or without (anti) a listed key; the list is short. Null counts as a key."""
-    renamed = listed.toDF(*[f"__hot_{i}" for i in range(len(listed.columns))])
-    same = all_of(field(k).eqNullSafe(F.col(f"__hot_{i}")) for i, k in enumerate(listed.columns))
-    return df.join(F.broadcast(renamed), same, how)
-
-
-def _join_hot(left: DataFrame, right: DataFrame, keys: list[str], keep_left: bool, keep_right: bool) -> DataFrame:
-    """An outer join over few keys: its matches, plus rows whose key the other side lacks.
-
-    The inner join can be split on both sides. Keys of the other side are few, so
-    the unmatched rows are found without a shuffle.
-    """
+    first, second = (right, left) if kind == "right" else (left, right)
+    out = shaped(first.join(second, on=keys, how="inner"))
+    if kind in ("left", "full"):
+        out = out.unionAll(shaped(_by_presence(left, right, keys, "left_anti")))
+    if kind in ("right", "full"):
+        out = out.unionAll(shaped(_by_presence(right, left, keys, "left_anti")))
+    return out
 
-    def lone(df: DataFrame, other: DataFrame) -> DataFrame:
-        present = other.select(*[field(k) for k in keys]).distinct()
-        return df.join(F.broadcast(present), on=keys, how="left_anti")
 
-    out = left.join(right, on=keys, how="inner")
-    if keep_left:
-        out = out.unionByName(lone(left, right), allowMissingColumns=True)
-    if keep_right:
-        out = out.unionByName(lone(right, left), allowMissingColumns=True)
-    return out
+def _by_presence(rows: DataFrame, other: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Rows whose key the other side has (semi) or lacks (anti); a null key is never there."""
+    return join_per_key(rows, other.select(*[field(k) for k in keys]).distinct(), keys, how)

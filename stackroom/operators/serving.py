@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, VariantType
 
@@ -27,6 +27,8 @@ class JoinSpec:
     right_on: tuple[str, ...]
     how: str = "left"
     right_select_columns: tuple[str, ...] = ()
+    #: No key repeats in the right input; a left join is cheaper then.
+    right_unique: bool = False
 
     def __post_init__(self) -> None:
         if not self.left_on or len(self.left_on) != len(self.right_on):
@@ -99,6 +101,12 @@ def serve(inputs: Mapping[str, DataFrame], spec: ServingSpec) -> DataFrame:
     return df
 
 
+def _plain_name(spark: SparkSession) -> Callable[[str], str]:
+    """What decides whether Spark takes two names for one."""
+    exact = spark.conf.get("spark.sql.caseSensitive", "false").lower() == "true"
+    return str if exact else str.lower
+
+
 def _require_clear(names: Sequence[str], shared: set[str]) -> None:
     unclear = sorted(shared & set(names))
     if unclear:
@@ -121,17 +129,21 @@ def _join(left: DataFrame, right: DataFrame, join: JoinSpec) -> tuple[DataFrame,
     keys = list(join.left_on)
     semi = "semi" in join.how or "anti" in join.how
     same_names = join.left_on == join.right_on
-    clashes = (set(left.columns) & set(right.columns)) - set(join.right_on)
-    right = right.drop(*[field(name) for name in clashes])
+    same = _plain_name(left.sparkSession)
+    taken, kept = {same(c) for c in left.columns}, {same(c) for c in join.right_on}
+    clashes = {c for c in right.columns if same(c) in taken - kept}
+    names = {same(c) for c in clashes}
+    clashes |= {c for c in left.columns if same(c) in names}
+    right = right.drop(*[field(name) for name in set(right.columns) & clashes])
 
     if same_names:
-        return equi_join(left, right, keys, join.how), set() if semi else clashes
+        return equi_join(left, right, keys, join.how, join.right_unique), set() if semi else clashes
 
     # Other key names: the right ones leave the result, and with them the key of right-only rows.
     renamed = {k: f"__key_{i}" for i, k in enumerate(join.right_on)}
     right = right.withColumnsRenamed(renamed)
     left = left.withColumns({f"__key_{i}": field(k) for i, k in enumerate(keys)})
-    joined = equi_join(left, right, list(renamed.values()), join.how)
+    joined = equi_join(left, right, list(renamed.values()), join.how, join.right_unique)
     return joined.drop(*renamed.values()), set() if semi else clashes
 
 

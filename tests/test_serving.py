@@ -44,9 +44,7 @@ def brute(left, right, how):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "right", "full"])
-@pytest.mark.parametrize("hot", [False, True])
-def test_joins_with_and_without_split(sides, monkeypatch, how, hot):
-    monkeypatch.setattr(joins, "HOT_KEY_ROWS", 1 if hot else 100)
+def test_joins(sides, how):
     expected = brute(rows(sides["l"]), rows(sides["r"]), how)
     assert rows(serve(sides, spec_of(["k", "x", "y"], join_of(how)))) == expected
     # Other key names lose the key of right-only rows.
@@ -56,8 +54,7 @@ def test_joins_with_and_without_split(sides, monkeypatch, how, hot):
 
 
 @pytest.mark.parametrize("how", ["left", "right", "full"])
-def test_split_joins_on_random_keys(spark, monkeypatch, how):
-    monkeypatch.setattr(joins, "HOT_KEY_ROWS", 3)
+def test_joins_on_random_keys(spark, how):
     rng = random.Random(2)
     key = lambda: rng.choice([None, 0, 0, 0, *range(12)])
     left, right = [(key(), f"x{i}") for i in range(40)], [(key(), f"y{i}") for i in range(40)]
@@ -66,8 +63,7 @@ def test_split_joins_on_random_keys(spark, monkeypatch, how):
 
 
 @pytest.mark.parametrize("how", ["left", "right", "full"])
-def test_split_joins_on_two_keys_of_other_types(spark, monkeypatch, how):
-    monkeypatch.setattr(joins, "HOT_KEY_ROWS", 4)
+def test_joins_on_two_keys_of_other_types(spark, how):
     rng = random.Random(9)
     key = lambda: (rng.choice([None, 0, 0, 1]), rng.choice([None, "a", "a", "b", "c"]))
     left, right = [(*key(), f"x{i}") for i in range(50)], [(*key(), f"y{i}") for i in range(50)]
@@ -189,8 +185,7 @@ def test_repeated_key_rows_split_a_hot_key(spark, small_skew):
 
 
 @pytest.mark.parametrize("how", ["left", "right", "full"])
-def test_outer_joins_split_a_hot_key_on_either_side(spark, small_skew, monkeypatch, how):
-    monkeypatch.setattr(joins, "HOT_KEY_ROWS", 5000)
+def test_outer_joins_split_a_hot_key_on_either_side(spark, small_skew, how):
     few = spark.range(20).selectExpr("id k", "id y")
     sides = (few, hot_rows(spark)) if how == "left" else (hot_rows(spark), few)
     out = joins.equi_join(*sides, ["k"], how)
@@ -199,6 +194,77 @@ def test_outer_joins_split_a_hot_key_on_either_side(spark, small_skew, monkeypat
     assert out.exceptAll(native).count() == native.exceptAll(out).count() == 0
 
 
+@pytest.mark.parametrize("how", ["left_semi", "left_anti"])
+def test_presence_joins_split_the_left_and_reduce_the_right(spark, small_skew, how):
+    few = spark.range(0, 20000, 7, 4).selectExpr("id k")
+    out = joins.equi_join(hot_rows(spark), few, ["k"], how)
+    assert "skew=true" in final_plan(out)
+    native = hot_rows(spark).join(few, "k", how)
+    assert out.exceptAll(native).count() == native.exceptAll(out).count() == 0
+    # A hot right key is one row for each task once it is distinct, so no task gets all its rows.
+    plan = final_plan(joins.equi_join(few, hot_rows(spark), ["k"], how))
+    right = plan[plan.index("HashAggregate") :]
+    assert "HashAggregate" in right and "ReusedExchange" not in right.splitlines()[0]
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "right", "full", "left_semi", "left_anti"])
+def test_no_job_runs_while_a_join_is_built(spark, sides, how):
+    left, right = sides["l"], sides["r"]
+    before = set(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    joins.equi_join(left, right, ["k"], how)
+    assert set(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) == before
+
+
+PAIRS = {
+    "array and array": ("array(k)", "array(k)"),
+    "long and string": ("cast(k AS long)", "cast(k AS string)"),
+    "long and decimal": ("cast(k AS long)", "cast(k AS decimal(20,2))"),
+    "int and double": ("k", "cast(k AS double)"),
+    "float and long": ("cast(k AS float)", "cast(k AS long)"),
+    "int and long": ("k", "cast(k AS long)"),
+}
+
+
+@pytest.mark.parametrize("how", ["left", "right", "full", "left_semi", "left_anti"])
+@pytest.mark.parametrize("pair", PAIRS)
+def test_hot_keys_of_all_types(spark, pair, how):
+    mine, theirs = PAIRS[pair]
+    keys = "CASE WHEN id % 3 = 0 THEN 9 WHEN id % 10 = 1 THEN NULL ELSE cast(id AS int) END"
+    left = spark.range(60).selectExpr(f"{keys} k", "id x").selectExpr(f"{mine} k", "x")
+    right = spark.range(30, 50).selectExpr(f"{keys} k", "id y").selectExpr(f"{theirs} k", "y")
+    out, native = joins.equi_join(left, right, ["k"], how), left.join(right, "k", how)
+    assert out.dtypes == native.dtypes
+    assert rows(out) == rows(native)
+
+
+def test_unique_right_side_takes_one_join(spark, small_skew):
+    few = spark.range(20).selectExpr("id k", "id y")
+    out = joins.equi_join(hot_rows(spark), few, ["k"], "left", right_unique=True)
+    plan = final_plan(out)
+    assert "skew=true" in plan and "Union" not in plan
+    assert out.exceptAll(hot_rows(spark).join(few, "k", "left")).count() == 0
+
+
+def test_a_chain_on_one_key_is_split_at_each_join(spark, small_skew):
+    few = [spark.range(0, 20000, step, 4).selectExpr("id k", f"id y{step}") for step in (2, 3)]
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+    try:
+        out = hot_rows(spark)
+        for right in few:
+            out = joins.equi_join(out, right, ["k"], "left")
+        assert final_plan(out).count("skew=true") >= 2
+    finally:
+        spark.conf.unset("spark.sql.adaptive.forceOptimizeSkewedJoin")
+
+
+def test_names_that_differ_in_case_clash(spark, sides):
+    inputs = {"l": sides["l"].withColumnRenamed("x", "Name"), "r": sides["r"].withColumnRenamed("y", "name")}
+    with pytest.raises(ValueError, match="more than one input"):
+        serve(inputs, spec_of(["Name"], join_of("left")))
+    with pytest.raises(ValueError, match="more than one input"):
+        serve(inputs, spec_of(["name"], join_of("left")))
+
+
 def test_left_join_splits_hot_nulls(spark, small_skew):
     rows_ = hot_rows(spark).selectExpr("nullif(k, 9) k", "x")
     other = spark.range(0, 2000, 1, 4).selectExpr("id k", "id * 2 y")
