@@ -189,22 +189,16 @@ BOOK_MONITORS = (
 )
 REVIEW_MONITORS = ("title", "title_key", "user_id", "profile_name", "price", "review_summary", "review_text")
 
-FAILED_COLUMNS = "title, title_key, published_date, ratings_count, authors"
-
-
 def _failed(name: str, condition: str) -> str:
-    return f"SELECT '{name}' AS check_name, {FAILED_COLUMNS} FROM silver_books WHERE {condition}"
+    return f"SELECT '{name}' AS check_name, {', '.join(BOOK_TYPES)} FROM silver_books WHERE {condition}"
 
 
-SAMPLE_COLUMNS = (
-    "review_no, review_line, id, review_score, price, review_date, user_id, book_source_id, review_timestamp"
-)
 SAMPLE_ORDER = "review_no, review_line, id, review_score, price, review_date, user_id"
 
 
 def _sample(name: str, condition: str) -> str:
     return f"""
-SELECT '{name}' AS check_name, {SAMPLE_COLUMNS} FROM (
+SELECT '{name}' AS check_name, review_no, review_line, id, {", ".join(REVIEW_TYPES)} FROM (
  SELECT *, row_number() OVER (ORDER BY {", ".join(f"{c} NULLS FIRST" for c in SAMPLE_ORDER.split(", "))}) AS place
  FROM silver_reviews WHERE {condition}) WHERE place <= 25"""
 
@@ -279,28 +273,28 @@ ORACLE_SQL: dict[str, str] = {
     "csv_ingest": "SELECT trim(text, (SELECT string_agg(chr(CAST(i AS INTEGER)), '') FROM range(1, 33) t(i))) AS text,"
     " CAST(doc_id AS VARCHAR) AS doc_id, lang AS language, source FROM documents",
     "csv_table": "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,"
-    " o_orderstatus, o_orderpriority FROM orders",
+    " o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders",
     "standardize_books": _with(f"SELECT book_no, {BOOK_COLUMNS} FROM std_books", whole_texts=True),
-    "standardize_reviews": _with(f"SELECT {REVIEW_COLUMNS} FROM std_reviews"),
+    "standardize_reviews": _with(f"SELECT {REVIEW_COLUMNS} FROM std_reviews", whole_texts=True),
     "standardize_append": _with(
         f"""SELECT book_no, lower({_tidy("title")}) AS title, authors, publisher, published_date_raw, categories,
  ratings_count_raw, {_date("published_date_raw")} AS published_date,
  CAST(year({_date("published_date_raw")}) AS INTEGER) AS published_year,
  TRY_CAST(ratings_count_raw AS DOUBLE) AS ratings_count FROM raw_books"""
     ),
-    "fill_defaults": _with("SELECT title, authors, publisher, categories FROM silver_books"),
+    "fill_defaults": _with(f"SELECT {BOOK_COLUMNS} FROM silver_books"),
     "fill_defaults_raw": _with(
-        """SELECT review_no, review_line,
+        """SELECT * REPLACE (
  CASE WHEN coalesce(trim(user_id, ' '), '') = '' THEN 'anonymous' ELSE user_id END AS user_id,
- CASE WHEN coalesce(trim(profile_name, ' '), '') = '' THEN 'anonymous' ELSE profile_name END AS profile_name
+ CASE WHEN coalesce(trim(profile_name, ' '), '') = '' THEN 'anonymous' ELSE profile_name END AS profile_name)
  FROM raw_reviews"""
     ),
     "enrich_books": _with(
-        f"SELECT title_key, {', '.join(f'has_{c}' for c in BOOK_FLAGS)}, completeness_score FROM silver_books",
+        f"SELECT {', '.join(BOOK_TYPES)} FROM silver_books",
         whole_texts=True,
     ),
     "enrich_reviews": _with(
-        "SELECT title_key, has_price, has_user_id, has_review_text FROM silver_reviews", whole_texts=True
+        f"SELECT {', '.join(REVIEW_TYPES)} FROM silver_reviews", whole_texts=True
     ),
     "hash_key": _with(
         """SELECT title_key, title_key IS NOT NULL AS has_hash, count(DISTINCT title_key) AS hashes, count(*) AS books
@@ -316,7 +310,7 @@ ORACLE_SQL: dict[str, str] = {
         f"""SELECT {BOOK_COLUMNS}, {", ".join(f"has_{c}" for c in BOOK_FLAGS)}, completeness_score FROM good_books"""
     ),
     "quarantine_rejects": _with(
-        f"""SELECT {BOOK_COLUMNS}, has_published_date, has_categories, has_ratings_count, completeness_score,
+        f"""SELECT {", ".join(BOOK_TYPES)},
  CASE WHEN title IS NULL AND title_key IS NULL THEN 'missing_title_and_title_key'
  WHEN title IS NULL THEN 'missing_title' WHEN title_key IS NULL THEN 'missing_title_key'
  ELSE 'quarantine_rule_matched' END AS quarantine_reason, 'silver' AS quarantine_stage,
@@ -414,7 +408,7 @@ ORACLE_SQL: dict[str, str] = {
     "relationship_sample": _with(
         f"SELECT relationship_key FROM ({_missing_keys()}) ORDER BY relationship_key LIMIT 20"
     ),
-    "table_profile": _with(_union(*_profile(SB, BOOK_TYPES), *_profile(SR, REVIEW_TYPES))),
+    "table_profile": _with(_union(*_profile(SB, BOOK_TYPES), *_profile(SR, REVIEW_TYPES)), whole_texts=True),
     "table_head": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 20",
     "serve_books_analytics": _with(
         """SELECT title, description, authors, publisher, published_date, categories, ratings_count, completeness_score
@@ -466,5 +460,5 @@ ORACLE_SQL: dict[str, str] = {
  {_mean("sum(2 * price)", "count(price)", 2)} AS avg_price, count(price) AS priced_review_count
  FROM silver_reviews WHERE review_date IS NOT NULL GROUP BY review_date"""
     ),
-    "medallion_end_to_end": _with(PERFORMANCE),
+    "medallion_end_to_end": _with(PERFORMANCE, whole_texts=True),
 }

@@ -76,10 +76,12 @@ def csv_ingest(spark, folder):
 
 @query
 def csv_table(spark, folder):
-    """A table written and read back as header CSV: every column is text."""
+    """A table written and read back as header CSV: every column is text. Price and date take their types again."""
     path = new_folder(spark, "csv_table")
-    write_table(table(spark, folder, "orders"), path, "csv")
-    return read_table(spark, path, "csv").drop("o_totalprice", "o_orderdate")
+    orders = table(spark, folder, "orders")
+    write_table(orders, path, "csv")
+    typed = {name: F.col(name).cast(orders.schema[name].dataType) for name in ("o_totalprice", "o_orderdate")}
+    return read_table(spark, path, "csv").withColumns(typed)
 
 
 # --- silver -----------------------------------------------------------------------------------
@@ -93,7 +95,7 @@ def standardize_books(spark, folder):
 
 @query
 def standardize_reviews(spark, folder):
-    return standardize(raw_reviews(spark, folder), rules.REVIEWS_SILVER)
+    return standardize(raw_reviews(spark, folder, whole_texts=True), rules.REVIEWS_SILVER)
 
 
 @query
@@ -122,26 +124,24 @@ def standardize_append(spark, folder):
 @query
 def fill_defaults_(spark, folder):
     books = standardize(raw_books(spark, folder), rules.BOOKS_SILVER)
-    return fill_defaults(books, rules.BOOKS_DEFAULTS).select("title", "authors", "publisher", "categories")
+    return fill_defaults(books, rules.BOOKS_DEFAULTS)
 
 
 @query
 def fill_defaults_raw(spark, folder):
     """Defaults on raw columns: blanks are filled too, other edges stay."""
     reviews = raw_reviews(spark, folder)
-    return fill_defaults(reviews, rules.REVIEWS_DEFAULTS).select("review_no", "review_line", "user_id", "profile_name")
+    return fill_defaults(reviews, rules.REVIEWS_DEFAULTS)
 
 
 @query
 def enrich_books(spark, folder):
-    books = flow.silver_books(raw_books(spark, folder, whole_texts=True))
-    return books.select("title_key", *[c for c in books.columns if c.startswith("has_")], "completeness_score")
+    return flow.silver_books(raw_books(spark, folder, whole_texts=True)).drop("title_hash")
 
 
 @query
 def enrich_reviews(spark, folder):
-    reviews = flow.silver_reviews(raw_reviews(spark, folder, whole_texts=True))
-    return reviews.select("title_key", "has_price", "has_user_id", "has_review_text")
+    return flow.silver_reviews(raw_reviews(spark, folder, whole_texts=True)).drop("title_hash")
 
 
 @query
@@ -201,7 +201,7 @@ def quarantine_rejects(spark, folder):
     """Three required columns, so that each reason occurs."""
     spec = replace(rules.BOOKS_QUARANTINE, required=("title", "title_key", "published_date"))
     books = flow.silver_books(raw_books(spark, folder))
-    return rejects(books, spec).drop("title_hash", "has_description", "has_authors", "has_publisher")
+    return rejects(books, spec).drop("title_hash")
 
 
 # --- checks -----------------------------------------------------------------------------------
@@ -278,9 +278,7 @@ def _mixed_suite():
 def dq_failed_rows(spark, folder):
     """Every failing book of every kind of check; a book may fail several."""
     books = flow.silver_books(raw_books(spark, folder))
-    return checks.failed_rows(books, _mixed_suite()).select(
-        "check_name", "title", "title_key", "published_date", "ratings_count", "authors"
-    )
+    return checks.failed_rows(books, _mixed_suite()).drop("title_hash")
 
 
 SAMPLE_ORDER = ("review_no", "review_line", "id", "review_score", "price", "review_date", "user_id")
@@ -290,7 +288,7 @@ def _numbered_reviews(spark, folder):
     """Enriched reviews that keep the numbers of their source line."""
     spec = replace(rules.REVIEWS_SILVER, passthrough_columns=("review_no", "review_line", "id"))
     reviews = standardize(raw_reviews(spark, folder), spec).transform(fill_defaults, rules.REVIEWS_DEFAULTS)
-    return enrich(reviews, rules.REVIEWS_QUALITY).select(*SAMPLE_ORDER, "book_source_id", "review_timestamp")
+    return enrich(reviews, rules.REVIEWS_QUALITY)
 
 
 @query
@@ -299,7 +297,7 @@ def dq_failed_sample(spark, folder):
     suite = replace(
         rules.REVIEWS_VALIDITY, checks=tuple(replace(c, sample_limit=25) for c in rules.REVIEWS_VALIDITY.checks)
     )
-    return checks.failed_samples(_numbered_reviews(spark, folder), suite, SAMPLE_ORDER)
+    return checks.failed_samples(_numbered_reviews(spark, folder), suite, SAMPLE_ORDER).drop("title_hash")
 
 
 @query
@@ -346,7 +344,8 @@ def relationship_sample(spark, folder):
 
 @query
 def table_profile_(spark, folder):
-    books, reviews = _both(spark, folder)
+    books = flow.silver_books(raw_books(spark, folder, whole_texts=True))
+    reviews = flow.silver_reviews(raw_reviews(spark, folder, whole_texts=True))
     return table_profile(books.drop("title_hash")).unionAll(table_profile(reviews.drop("title_hash")))
 
 
@@ -470,6 +469,7 @@ def serve_join_chain(spark, folder):
             "left_on": [left_key],
             "right_on": [right_key],
             "how": "left",
+            "right_unique": True,
         }
 
     spec = ServingSpec.from_dict(
@@ -543,8 +543,8 @@ def medallion_end_to_end(spark, folder):
     root = new_folder(spark, "flow")
     assets = flow.assets_under(root)
     for dataset, contract, raw in (
-        (rules.BOOKS, rules.BOOKS_CONTRACT, raw_books(spark, folder)),
-        (rules.REVIEWS, rules.REVIEWS_CONTRACT, raw_reviews(spark, folder)),
+        (rules.BOOKS, rules.BOOKS_CONTRACT, raw_books(spark, folder, whole_texts=True)),
+        (rules.REVIEWS, rules.REVIEWS_CONTRACT, raw_reviews(spark, folder, whole_texts=True)),
     ):
         named = raw.select(*[F.col(target).alias(source) for source, target in contract.columns])
         assets.write(named, dataset, "raw_csv", fmt="csv", escape=CSV_DEFAULTS["escape"])
