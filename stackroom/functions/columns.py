@@ -6,7 +6,7 @@ from collections.abc import Iterable
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -23,6 +23,11 @@ def any_of(conditions: Iterable[Column]) -> Column:
     return reduce(or_, conditions)
 
 
+def hashable(df: DataFrame) -> list[str]:
+    """Columns that Spark can hash: all without a map or a variant somewhere in them."""
+    return [c.name for c in df.schema if not any(kind in c.dataType.simpleString() for kind in ("map<", "variant"))]
+
+
 def row_hash(names: Iterable[str]) -> Column:
     """Eight bytes that stand for a row, to spread or to order rows repeatably."""
     return F.xxhash64(*[field(n) for n in names])

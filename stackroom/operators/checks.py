@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from stackroom.functions.columns import all_of, any_of, field, row_hash
+from stackroom.functions.columns import all_of, any_of, field, hashable, row_hash
 from stackroom.functions.scoring import percent
 from stackroom.operators.derive import known_options, require_columns
 from stackroom.operators.joins import join_per_key
@@ -25,10 +25,6 @@ SUMMARY_SCHEMA = """
     status string, total_rows long, passed_rows long, failed_rows long, failed_pct double
 """
 
-# A sample is first cut within this many lanes, then across them.
-SAMPLE_LANES = 256
-
-
 class QualityGateError(ValueError):
     """A critical check failed."""
 
@@ -242,25 +238,16 @@ def failed_samples(
 ) -> DataFrame:
     """Up to ``sample_limit`` failing rows per check: the first by ``order_by``, else by row hash."""
     failing = failed_rows(df, suite, as_of)
-    order = [field(n) for n in order_by] or [row_hash(df.columns)]
+    order = [field(n) for n in order_by] or [row_hash(hashable(df))]
     most = max(c.sample_limit for c in suite.checks)
     limit_of = F.lit(None).cast("int")
     for check in suite.checks:
         limit_of = F.when(F.col("check_name") == check.name, check.sample_limit).otherwise(limit_of)
 
-    # Spark cuts each partition to the window limit before the shuffle. The lanes do it
-    # once more, so that the task of a check sees lanes x limit rows and not partitions x limit.
-    lane = F.pmod(row_hash(order_by or df.columns), F.lit(SAMPLE_LANES))
-    laned = failing.withColumn("__lane", lane)
-    first = F.row_number().over(Window.partitionBy("check_name", "__lane").orderBy(*order))
-    second = F.row_number().over(Window.partitionBy("check_name").orderBy(*order))
-    return (
-        laned.withColumn("__place", first)
-        .filter(F.col("__place") <= most)
-        .withColumn("__place", second)
-        .filter((F.col("__place") <= most) & (F.col("__place") <= limit_of))
-        .drop("__lane", "__place")
-    )
+    # Spark cuts each partition to the window limit before the shuffle, so a check's task sees partitions x limit rows.
+    place = F.row_number().over(Window.partitionBy("check_name").orderBy(*order))
+    numbered = failing.withColumn("__place", place).filter(F.col("__place") <= most)
+    return numbered.filter(F.col("__place") <= limit_of).drop("__place")
 
 
 def roll_up(summary: DataFrame) -> DataFrame:

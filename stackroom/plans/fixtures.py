@@ -10,8 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stackroom.sources.tables import spread
-
 RAW_BOOKS = """
 SELECT p_partkey AS book_no,
  CASE WHEN p_partkey % 40 = 0 THEN NULL WHEN p_partkey % 40 = 1 THEN '   '
@@ -80,8 +78,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def _run(spark: SparkSession, folder: str, sql: str) -> DataFrame:
     names = [n for n in ("part", "lineitem", "documents") if "{" + n + "}" in sql]
     tables = {n: table(spark, folder, n) for n in names}
-    if "lineitem" in tables:
-        tables["lineitem"] = spread(tables["lineitem"])
     return spark.sql(sql, **tables)
 
 

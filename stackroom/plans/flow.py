@@ -17,7 +17,7 @@ from stackroom.plans import bookstore as rules
 from stackroom.plans.bookstore import BOOKS, REVIEWS
 from stackroom.plans.jobs import report_checks, report_relationship
 from stackroom.sources.raw_csv import read_raw_csv
-from stackroom.sources.tables import BRONZE_ROWS_PER_FILE, Assets
+from stackroom.sources.tables import Assets
 
 
 def silver_books(raw: DataFrame) -> DataFrame:
@@ -67,32 +67,21 @@ def lazy_flow(raw_books: DataFrame, raw_reviews: DataFrame) -> Gold:
     return gold_of(silver_books(raw_books).transform(eligible, rules.BOOKS_QUARANTINE), silver_reviews(raw_reviews))
 
 
-# The layers of both data sets and where they lie below the root.
-LAYOUT = {
-    BOOKS: {
-        "raw_csv": "raw/books_data.csv",
-        "bronze_full": "bronze/books_data_full.parquet",
-        "silver_standardized": "silver/books_data_silver.parquet",
-        "silver_defaults_filled": "silver/books_data_silver_defaults.parquet",
-        "silver_quality_enriched": "silver/books_data_silver_quality.parquet",
-        "silver_eligible": "silver/books_data_silver_eligible.parquet",
-        "silver_quarantine": "quarantine/books_data_quarantine.parquet",
-        "gold_books_serving_da": "gold/books_serving_da.parquet",
-    },
-    REVIEWS: {
-        "raw_csv": "raw/books_rating.csv",
-        "bronze_full": "bronze/books_rating_full.parquet",
-        "silver_standardized": "silver/books_rating_silver.parquet",
-        "silver_defaults_filled": "silver/books_rating_silver_defaults.parquet",
-        "silver_quality_enriched": "silver/books_rating_silver_quality.parquet",
-        "gold_reviews_serving_da": "gold/reviews_serving_da.parquet",
-        "gold_reviews_serving_ds": "gold/reviews_serving_ds.parquet",
-    },
-}
+# The asset names of both data sets. An asset lies in the folder data set / asset below the root.
+ASSETS = {
+    BOOKS: (
+        "raw_csv", "bronze_full", "silver_standardized", "silver_defaults_filled", "silver_quality_enriched",
+        "silver_eligible", "silver_quarantine", "gold_books_serving_da",
+    ),
+    REVIEWS: (
+        "raw_csv", "bronze_full", "silver_standardized", "silver_defaults_filled", "silver_quality_enriched",
+        "gold_reviews_serving_da", "gold_reviews_serving_ds",
+    ),
+}
 
 
 def assets_under(root: str) -> Assets:
-    return Assets({d: {a: f"{root}/{p}" for a, p in assets.items()} for d, assets in LAYOUT.items()})
+    return Assets({d: {a: f"{root}/{d}/{a}" for a in assets} for d, assets in ASSETS.items()})
 
 
 def run_flow(
@@ -101,7 +90,7 @@ def run_flow(
     reports_path: str,
     gate: bool = True,
     every_layer: bool = True,
-    rows_per_file: int = BRONZE_ROWS_PER_FILE,
+    rows_per_file: int | None = None,
     as_of: date | None = None,
 ) -> dict[str, int]:
     """Run from raw CSV to gold on files; returns the rows of each table written.

@@ -162,7 +162,7 @@ def _review_validity(dimension: str) -> list[str]:
 
 
 def _hash_present(dataset: str, dimension: str, source: str) -> str:
-    # A hash is missing only where its key is, so nothing can fail.
+    # A hash is missing only where its key is, so nothing can fail. price_required_when_scored is the case that does.
     name = "title_hash_required_when_title_key_present"
     return _line(dataset, dimension, name, "requires_when_present", "warning", source, _where("FALSE"))
 
@@ -274,6 +274,19 @@ ORACLE_SQL: dict[str, str] = {
     " CAST(doc_id AS VARCHAR) AS doc_id, lang AS language, source FROM documents",
     "csv_table": "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,"
     " o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders",
+    "sink_orc_partitioned": "SELECT * FROM lineitem",
+    "sink_file_layout": "SELECT l_returnflag, count(*) AS rows, TRUE AS capped, TRUE AS spread FROM lineitem GROUP BY l_returnflag",
+    "sink_report": _with(
+        "SELECT *, failed_rows AS stored_rows FROM ("
+        + _union(
+            _date_past("validity"),
+            _count_positive("validity"),
+            _line(B, "validity", "score_not_negative", "non_negative", "critical", SB, _where("completeness_score < 0")),
+        )
+        + ")"
+    ),
+    "sink_snapshot": "SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name, CAST(s_nationkey AS VARCHAR) AS s_nationkey"
+    " FROM supplier ORDER BY s_name LIMIT 25",
     "standardize_books": _with(f"SELECT book_no, {BOOK_COLUMNS} FROM std_books", whole_texts=True),
     "standardize_reviews": _with(f"SELECT {REVIEW_COLUMNS} FROM std_reviews", whole_texts=True),
     "standardize_append": _with(

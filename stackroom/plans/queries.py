@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 from dataclasses import replace
 from functools import wraps
@@ -19,10 +20,14 @@ from stackroom.operators.standardize import StandardizeSpec, standardize
 from stackroom.operators.surrogate import SurrogateKey, assign_keys
 from stackroom.plans import bookstore as rules
 from stackroom.plans import flow
+from stackroom.plans.jobs import JOBS
 from stackroom.plans.fixtures import raw_books, raw_reviews, table
 from stackroom.sources.raw_csv import CSV_DEFAULTS, CsvContract, read_raw_csv
-from stackroom.sources.tables import read_table, write_table
-from stackroom.sources.workspace import new_folder
+from stackroom.sources.tables import Assets, read_table, write_failed_rows, write_summary, write_table
+from stackroom.sources.workspace import SHARED_FOLDER, new_folder
+
+# A check that no book fails.
+PRICED = checks.Check(name="score_not_negative", type="non_negative", severity="critical", column="completeness_score")
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -37,12 +42,20 @@ def query(build: Query) -> Query:
     @wraps(build)
     def run(spark: SparkSession, folder: str) -> DataFrame:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+        _give_folder(spark)
         return without_zone(build(spark, folder))
 
     QUERIES[build.__name__.removesuffix("_")] = run
     return run
 
 
+def _give_folder(spark: SparkSession) -> None:
+    """A local session without a shared folder gets one for its queries; on a cluster the setting must be there."""
+    given = spark.conf.get(SHARED_FOLDER, None) or spark.sparkContext.getCheckpointDir()
+    if not given and spark.sparkContext.master.startswith("local["):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="stackroom-"))
+
+
 def without_zone(df: DataFrame) -> DataFrame:
     """Timestamps as plain UTC clock readings, which compare the same everywhere."""
     zoned = {name: F.col(name).cast("timestamp_ntz") for name, kind in df.dtypes if kind == "timestamp"}
@@ -84,6 +97,59 @@ def csv_table(spark, folder):
     return read_table(spark, path, "csv").withColumns(typed)
 
 
+# --- sinks ------------------------------------------------------------------------------------
+
+ROWS_PER_FILE = 500
+
+
+def _stored_lines(spark, folder):
+    """All line items as ORC, in folders by return flag, spread over seven tasks, at most so many rows in a file."""
+    path = new_folder(spark, "sink")
+    lines = table(spark, folder, "lineitem")
+    settings = {"partitions": 7, "partition_by": ("l_returnflag",), "max_records_per_file": ROWS_PER_FILE}
+    write_table(lines, path, "orc", compression="zlib", **settings)
+    return spark.read.orc(path)
+
+
+@query
+def sink_orc_partitioned(spark, folder):
+    return _stored_lines(spark, folder)
+
+
+@query
+def sink_file_layout(spark, folder):
+    """Rows by folder, and whether every file keeps to the cap and every folder has the files the cap asks for."""
+    files = _stored_lines(spark, folder).groupBy("l_returnflag", F.input_file_name().alias("file")).count()
+    counted = files.groupBy("l_returnflag").agg(
+        F.sum("count").alias("rows"), F.max("count").alias("most"), F.count(F.lit(1)).alias("files")
+    )
+    enough = F.col("files") >= F.ceil(F.col("rows") / ROWS_PER_FILE)
+    return counted.select("l_returnflag", "rows", (F.col("most") <= ROWS_PER_FILE).alias("capped"), enough.alias("spread"))
+
+
+@query
+def sink_report(spark, folder):
+    """Summary (one CSV file) and failing rows (a folder for each check) stored and read back; one check passes."""
+    root = new_folder(spark, "report")
+    books = flow.silver_books(raw_books(spark, folder))
+    suite = replace(rules.BOOKS_VALIDITY, checks=(*rules.BOOKS_VALIDITY.checks, PRICED))
+    write_summary(checks.summarize(books, suite), f"{root}/summary")
+    write_failed_rows(checks.failed_rows(books, suite).drop("title_hash"), f"{root}/failed", "parquet")
+    summary = read_table(spark, f"{root}/summary", "csv")
+    typed = {c.name: F.col(c.name).cast(c.dataType) for c in checks.summarize(books, suite).schema}
+    stored = read_table(spark, f"{root}/failed").groupBy("check_name").agg(F.count(F.lit(1)).alias("stored_rows"))
+    return summary.withColumns(typed).join(stored, "check_name", "left").fillna({"stored_rows": 0})
+
+
+@query
+def sink_snapshot(spark, folder):
+    """The first rows of a named table that was stored as CSV, by the snapshot job."""
+    path = new_folder(spark, "snapshot")
+    write_table(table(spark, folder, "supplier").select("s_suppkey", "s_name", "s_nationkey"), path, "csv")
+    config = {"dataset_name": "supplier", "asset_name": "all", "input_format": "csv", "sample_rows": 25, "order_by": ["s_name"]}
+    return JOBS["snapshot"](spark, config, Assets({"supplier": {"all": path}})).sample
+
+
 # --- silver -----------------------------------------------------------------------------------
 
 

@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 
 READABLE = ("parquet", "csv")
 
-# Fixed value: rows per file of the first layer unless asked otherwise.
-BRONZE_ROWS_PER_FILE = 50_000
-
 # Names of writer settings in a job config, and what Spark calls them.
 WRITER_OPTIONS = {
     "max_records_per_file": "maxRecordsPerFile",
@@ -30,16 +27,6 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet", **options:
     return spark.read.format(fmt).options(**header, **options).load(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for a source that comes in far fewer pieces than there are cores.
-
-    One row group or one multi-line file is one task however long its rows take to
-    work on. A source in many pieces stays as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
-
-
 def write_table(
     df: DataFrame,
     path: str,
@@ -75,10 +62,16 @@ def write_summary(df: DataFrame, path: str, fmt: str = "csv") -> int:
 
 
 def write_failed_rows(df: DataFrame, path: str, fmt: str = "csv") -> int:
-    """Failed rows in a folder per check. The whole output is replaced, so no check keeps old rows."""
+    """Failed rows in a folder per check. The whole output is replaced, so no check keeps old rows.
+
+    If nothing failed there are no folders; one file without rows keeps the columns, so that the output can be read.
+    """
     if fmt not in READABLE:
         raise ValueError(f"failed rows format must be one of {READABLE}, not {fmt!r}")
-    return write_table(df, path, fmt, partition_by=("check_name",))
+    written = write_table(df, path, fmt, partition_by=("check_name",))
+    if not written:
+        write_table(df.sparkSession.createDataFrame([], df.schema).coalesce(1), path, fmt)
+    return written
 
 
 class Assets:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 from uuid import uuid4
 
 from pyspark.sql import SparkSession
@@ -11,14 +11,10 @@ SHARED_FOLDER = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names; a local run may go without."""
+    """The folder that ``spark.checkpoint.dir`` names, or the one the session was given for checkpoints."""
     folder = spark.conf.get(SHARED_FOLDER, None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not folder:
         raise ValueError(f"set {SHARED_FOLDER} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="stackroom-")
-    spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
@@ -29,5 +25,15 @@ def use_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/{purpose}-{uuid4().hex}"
+    """A fresh path below the shared folder, removed when the driver ends."""
+    folder = f"{shared_folder(spark).rstrip('/')}/{purpose}-{uuid4().hex}"
+    atexit.register(remove, spark, folder)
+    return folder
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder in any file system that Spark knows, if the session still runs."""
+    context = spark.sparkContext
+    if context._jsc is not None and context._jvm is not None:
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)

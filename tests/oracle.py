@@ -23,7 +23,7 @@ def plain(value):
     if isinstance(value, Decimal):
         value = float(value)
     if isinstance(value, float):
-        return None if math.isnan(value) else round(value, 9)
+        return "NaN" if math.isnan(value) else round(value, 9)
     if isinstance(value, dt.datetime):
         return value.replace(tzinfo=None)
     return value

@@ -142,6 +142,14 @@ def test_repeated_key_rows_start_with_the_key(spark):
     assert sorted(out.collect()) == [("a", 1), ("a", 2)]
 
 
+def test_samples_of_tables_with_maps(spark):
+    df = spark.range(9).selectExpr("id", "map('k', id) m", "cast(null AS string) name")
+    suite = CheckSuite.from_dict(
+        {"dataset_name": "d", "quality_dimension": "q", "checks": [{"name": "named", "type": "not_null", "column": "name", "severity": "warning", "sample_limit": 4}]}
+    )
+    assert failed_samples(df, suite).count() == 4
+
+
 def test_samples_are_the_first_rows_of_each_check(spark):
     df = spark.range(3000).selectExpr("cast(id as int) n", "-1.0D price", "if(id % 2 = 0, null, 'x') a").repartition(11)
     suite = CheckSuite(

@@ -10,7 +10,7 @@ from stackroom.plans import bookstore, flow
 from stackroom.plans.fixtures import raw_books, raw_reviews
 from stackroom.sources import workspace
 from stackroom.sources.raw_csv import CsvContract, read_raw_csv
-from stackroom.sources.tables import Assets, read_table, spread, write_failed_rows, write_summary, write_table
+from stackroom.sources.tables import Assets, read_table, write_failed_rows, write_summary, write_table
 
 CONTRACT = CsvContract.from_dict(
     {
@@ -105,13 +105,15 @@ def test_small_results(spark, tmp_path):
             write(failed, str(tmp_path / "x"), "orc")
 
 
-def test_spread_leaves_sources_in_many_pieces_alone(spark):
-    assert spread(spark.range(0, 10, 1, 1)).rdd.getNumPartitions() == 8
-    many = spark.range(0, 100, 1, 6)
-    assert spread(many) is many
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_failed_rows_without_any_can_be_read(spark, tmp_path, fmt):
+    none = spark.createDataFrame([], "check_name string, n int")
+    assert write_failed_rows(none, str(tmp_path / "f"), fmt) == 0
+    again = read_table(spark, str(tmp_path / "f"), fmt)
+    assert again.count() == 0 and sorted(again.columns) == ["check_name", "n"]
 
 
-def test_shared_folder(spark):
+def test_shared_folder(spark, monkeypatch):
     class Context:
         master = "spark://host:7077"
 
@@ -119,6 +121,7 @@ def test_shared_folder(spark):
             return None
 
     named = SimpleNamespace(conf={workspace.SHARED_FOLDER: "s3://shared"}, sparkContext=Context())
+    monkeypatch.setattr(workspace.atexit, "register", lambda *_: None)
     assert workspace.new_folder(named, "x").startswith("s3://shared/x-")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         workspace.shared_folder(SimpleNamespace(conf={}, sparkContext=Context()))
