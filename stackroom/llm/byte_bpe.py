@@ -7,8 +7,9 @@ small maps, chosen by a hash of the piece, since Spark searches a map from front
 ``long_word`` bytes, for which a fold would take quadratic time, are merged by the same rules with a heap in a small
 helper. Decoding looks every id up in a literal list of pieces and concatenates them.
 
-Documents then take their words' ids from the dictionary of words: the ``common_words`` most frequent ones (a fixed
-number) go to every task, all others through joins. No row is capped: a word is in one or the other.
+The most frequent words of all documents (``common_words`` of them, a fixed number, so that their table may go to every
+task) are encoded once for all. Every other word is encoded once in each document that has it, in place: no row is
+capped, and neither texts nor words are shuffled but for the counts.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .common import materialize, slices
 
@@ -35,7 +37,7 @@ class BpeSpec:
 
     ranks: str
     pattern: str
-    common_words: int = 200_000
+    common_words: int = 300_000
     long_word: int = 256
     buckets: int = 32_768
 
@@ -60,7 +62,7 @@ def bucket(piece: Column, buckets: int) -> Column:
 
 
 class RankMap:
-    """Ranks as literals for Spark, and as a dictionary for the driver and long words."""
+    """Ranks as a literal for Spark, and as a dictionary for the driver and long words."""
 
     def __init__(self, spec: BpeSpec):
         from zlib import crc32
@@ -72,15 +74,24 @@ class RankMap:
             text = piece.decode("latin-1")
             maps[crc32(text.encode()) % spec.buckets][text] = rank
             pieces[rank] = text
-        self._maps = F.from_json(F.lit(json.dumps(maps)), "array<map<string,int>>")
-        self._pieces = F.from_json(F.lit(json.dumps(pieces)), "array<string>")
+        self._literal = F.from_json(F.lit(json.dumps({"maps": maps, "pieces": pieces})), "maps array<map<string,int>>, pieces array<string>")
+
+    def use(self, then: Callable[[Merges], Column]) -> Column:
+        """An expression over the literal, which stands in the plan once."""
+        return let(self._literal, lambda bound: then(Merges(bound["maps"], bound["pieces"], self.spec.buckets)))
+
+
+@dataclass(frozen=True)
+class Merges:
+    """Encoding and decoding over a rank map (an array of maps from piece to rank) and a list of pieces by rank."""
+
+    maps: Column
+    pieces: Column
+    buckets: int
 
     def rank(self, piece: Column) -> Column:
         """Rank of a piece, null if it has none."""
-        return F.try_element_at(F.get(self._maps, bucket(piece, self.spec.buckets)), piece)
-
-    def piece(self, token: Column) -> Column:
-        return F.get(self._pieces, token)
+        return F.try_element_at(F.get(self.maps, bucket(piece, self.buckets)), piece)
 
     def merge(self, pieces: Column) -> Column:
         """The pieces of a word after all merges, from its single bytes."""
@@ -113,11 +124,11 @@ class RankMap:
         whole = self.rank(word)
         single = F.transform(F.sequence(F.lit(1), F.length(word)), lambda i: F.substring(word, i, F.lit(1)))
         folded = let(single, lambda bytes_: F.transform(self.merge(bytes_), self.rank))
-        return F.when(whole.isNotNull(), F.array(whole)).when(F.length(word) < 2, F.array(whole)).otherwise(folded)
+        return F.when(whole.isNotNull() | (F.length(word) < 2), F.array(whole)).otherwise(folded)
 
     def decode(self, ids: Column) -> Column:
         """The bytes of a list of ids."""
-        return F.encode(F.array_join(F.transform(ids, self.piece), ""), LATIN)
+        return F.encode(F.array_join(F.transform(ids, lambda i: F.get(self.pieces, i)), ""), LATIN)
 
 
 def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -155,48 +166,103 @@ def encode_words(words: DataFrame, maps: RankMap) -> DataFrame:
 
     raw = F.encode("word", "UTF-8")
     is_long = F.length(raw) > spec.long_word
-    plain = words.where(~is_long).select("word", F.decode(raw, LATIN).alias("latin"))
-    short = plain.select("word", maps.encode(F.col("latin")).alias("ids"))
-    long = words.where(is_long).select("word", long_ids(raw).alias("ids"))
-    both = short.unionByName(long)
-    return both.select("word", F.array_join(F.col("ids").cast("array<string>"), ",").alias("ids"), maps.decode(F.col("ids")).alias("decoded"))
+    plain = words.where(~is_long).select("word", maps.use(lambda m: let(latin_bytes(F.col("word")), m.encode)).alias("tokens"))
+    long = words.where(is_long).select("word", long_ids(raw).alias("tokens"))
+    both = plain.unionByName(long)
+    return both.select("word", joined_ids(F.col("tokens")).alias("ids"), maps.use(lambda m: m.decode(F.col("tokens")).cast("string")).alias("decoded"))
 
 
-def encode_documents(docs: DataFrame, spec: BpeSpec) -> DataFrame:
-    """doc_id, n_tokens, ids (text, joined by commas), decoded (bytes) of every document, whole texts.
+def word_table(words: DataFrame) -> bytes:
+    """Encoded words as one Arrow stream, for tasks to read."""
+    table = words.toArrow()
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, table.schema) as stream:
+        stream.write_table(table)
+    return out.getvalue().to_pybytes()
 
-    Null text is empty and has no tokens; repeated rows are each encoded; special tokens are ordinary text.
+
+def split_known(rows: DataFrame, table: bytes, maps: RankMap) -> DataFrame:
+    """Each document as pieces of known ids and texts, with the words between them that are still to be encoded.
+
+    ``rare`` lists each unknown word of the document once; ``which`` says which of them stands after each piece.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = rows.withColumn("text_hash", F.xxhash64("text"))
-    counts = rows.select(F.explode(words_of(F.col("text"), spec.pattern)).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-    counts = materialize(counts, "bpe-word-counts")
-    encoded = materialize(encode_words(counts.select("word"), RankMap(spec)), "bpe-words")
-    common = counts.orderBy(F.desc("n"), "word").limit(spec.common_words).select("word")
-    common = materialize(common, "bpe-common-words")
-    known = F.broadcast(common)  # at most spec.common_words rows
-    rare = rows.select("doc_id", "text_hash", F.explode(F.array_distinct(words_of(F.col("text"), spec.pattern))).alias("word"))
-    rare = rare.join(known, "word", "left_anti").join(encoded, "word")
-    rare = rare.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("word", "ids", "decoded")).alias("rare"))
-    rare = materialize(rare, "bpe-rare-words")
-    table = encoded.join(known, "word", "left_semi").toArrow().to_pydict()
-    shared = docs.sparkSession.sparkContext.broadcast(dict(zip(table["word"], zip(table["ids"], table["decoded"]))))
-    fields = [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.string()), ("decoded", pa.binary())]
-    schema = pa.schema(fields)
-
-    def assemble(batches):
-        words = shared.value
+    shared, ranks, long_word = rows.sparkSession.sparkContext.broadcast(table), maps.ranks, maps.spec.long_word
+    texts = {rank: piece for piece, rank in ranks.items()}
+    schema = pa.schema(
+        [
+            ("n_known", pa.int64()), ("ids", pa.list_(pa.string())), ("texts", pa.list_(pa.string())),
+            ("which", pa.list_(pa.int32())), ("rare", pa.list_(pa.string())),
+        ]
+    )
+
+    def long_word_ids(word):
+        raw = word.encode()
+        if len(raw) <= long_word:
+            return None
+        ids = merge_long(raw, ranks)
+        return ",".join(map(str, ids)), b"".join(texts[i] for i in ids).decode("utf-8", "replace")
+
+    def split(words, known):
+        found = list(map(known.get, words))
+        gaps = [i for i, hit in enumerate(found) if hit is None]
+        for i in gaps:
+            if len(words[i]) > long_word // 4:
+                found[i] = long_word_ids(words[i])
+        gaps = [i for i in gaps if found[i] is None]
+        rare: dict[str, int] = {}
+        which = [rare.setdefault(words[i], len(rare)) for i in gaps]
+        runs = [found[a + 1 : b] for a, b in zip([-1, *gaps], [*gaps, len(words)])]
+        ids = [",".join([hit[0] for hit in run]) for run in runs]
+        count = sum(x.count(",") + 1 for x in ids if x)
+        return count, ids, ["".join([hit[1] for hit in run]) for run in runs], which, list(rare)
+
+    def run(batches):
+        found = pa.ipc.open_stream(shared.value).read_all().to_pydict()
+        known = dict(zip(found["word"], zip(found["ids"], found["decoded"])))
+        del found
         for batch in slices(batches, 64):
-            out = []
-            for doc_id, text_words, extra in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                own = {x["word"]: (x["ids"], x["decoded"]) for x in extra or ()}
-                found = [words.get(w) or own[w] for w in text_words]
-                ids = ",".join([x[0] for x in found])
-                out.append((doc_id, ids.count(",") + 1 if found else 0, ids, b"".join([x[1] for x in found])))
+            out = [split(words, known) for words in batch.column(1).to_pylist()]
             columns = list(zip(*out)) if out else [[] for _ in schema]
-            yield pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+            pieces = [pa.array(c, f.type) for c, f in zip(columns, schema)]
+            yield pa.record_batch([batch.column(0), *pieces], names=["row", *schema.names])
 
-    rare = rare.withColumnRenamed("doc_id", "of").withColumnRenamed("text_hash", "of_hash")
-    joined = rows.join(rare, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("text_hash") == F.col("of_hash")), "left")
-    joined = joined.select("doc_id", words_of(F.col("text"), spec.pattern).alias("words"), "rare")
-    return joined.mapInArrow(assemble, "doc_id long, n_tokens long, ids string, decoded binary")
+    rows = rows.select("row", words_of(F.col("text"), maps.spec.pattern).alias("words"))
+    types = StructType.fromDDL("n_known long, ids array<string>, texts array<string>, which array<int>, rare array<string>")
+    return rows.mapInArrow(run, StructType([rows.schema["row"], *types.fields]))
+
+
+def latin_bytes(word: Column) -> Column:
+    return F.decode(F.encode(word, "UTF-8"), LATIN)
+
+
+def joined_ids(ids: Column) -> Column:
+    return F.array_join(ids.cast("array<string>"), ",")
+
+
+def encode_documents(docs: DataFrame, spec: BpeSpec, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the columns ``keep``, n_tokens, ids (text, joined by commas), decoded (text) of every document, whole texts.
+
+    Null text is empty and has no tokens; repeated rows are each encoded; special tokens are ordinary text.
+    """
+    text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
+    rows = docs.select(F.struct(F.col("doc_id").cast("long").alias("doc_id"), *keep).alias("row"), text)
+    counts = rows.select(F.explode(words_of(F.col("text"), spec.pattern)).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    common = materialize(counts.orderBy(F.desc("n"), "word").limit(spec.common_words).select("word"), "bpe-common-words")
+    maps = RankMap(spec)
+    table = word_table(materialize(encode_words(common.repartition(rows.sparkSession.sparkContext.defaultParallelism), maps), "bpe-words"))
+    parts = split_known(rows, table, maps)
+
+    def whole(merges: Merges, encoded: Column) -> Column:
+        def between(pieces: str, word: Callable[[Column], Column]) -> Column:
+            pairs = F.transform("which", lambda k, i: F.array(F.get(pieces, i), word(F.get(encoded, k))))
+            return F.concat(F.flatten(pairs), F.slice(pieces, F.lit(-1), F.lit(1)))
+
+        return F.struct(
+            F.aggregate("which", F.col("n_known"), lambda n, k: n + F.size(F.get(encoded, k))).alias("n_tokens"),
+            F.array_join(F.array_remove(between("ids", joined_ids), ""), ",").alias("ids"),
+            F.array_join(between("texts", lambda ids: merges.decode(ids).cast("string")), "").alias("decoded"),
+        )
+
+    coded = maps.use(lambda m: let(F.transform("rare", lambda w: let(latin_bytes(w), m.encode)), lambda ids: whole(m, ids)))
+    # A generator computes the three columns together; as a projection each would fold all words for itself.
+    return parts.select("row", F.inline(F.array(coded))).select("row.*", "n_tokens", "ids", "decoded")
