@@ -171,25 +171,24 @@ def test_compact_windows(docs, none):
     assert compact_windows.repeated_passages(none).count() == 0
 
 
-def test_tree_nodes():
+def test_compact_windows_are_tree_nodes():
     import numpy as np
 
     draw = np.random.default_rng(3)
-    for n, least in ((1, 1), (5, 5), (40, 7), (300, 46), (45, 46)):
-        values = (draw.permutation(n).astype(np.uint64) << np.uint64(24)) | np.arange(n, dtype=np.uint64)
-        if n < least:
-            continue
-        wanted = set()
-
-        def grow(a, b):
-            if b - a + 1 >= least:
-                c = a + int(values[a : b + 1].argmin())
-                wanted.add((c, a, b))
-                grow(a, c - 1)
-                grow(c + 1, b)
-
-        grow(0, n - 1)
-        assert set(compact_windows.tree_nodes(values, least)) == wanted
+    spec = compact_windows.PassageSpec(least=7, hashes=3)
+    texts = [draw.integers(0, 2**63, n).astype(np.uint64) for n in (0, 1, 6, 7, 40, 300)] + [np.repeat(draw.integers(0, 2**63, 20).astype(np.uint64), 3)]
+    wanted = set()
+    for k, tokens in enumerate(texts):
+        for i in range(3):
+            values = ((tokens ^ compact_windows.SEEDS[i]) * compact_windows.FACTORS[i]) & ~compact_windows.PLACE | np.arange(len(tokens), dtype=np.uint64)
+            todo = [(0, len(tokens) - 1)]
+            while todo:
+                a, b = todo.pop()
+                if b - a + 1 >= spec.least:
+                    c = a + int(values[a : b + 1].argmin())
+                    wanted.add((k, i, c, a, b))
+                    todo += [(a, c - 1), (c + 1, b)]
+    assert {tuple(map(int, x)) for x in zip(*compact_windows.compact_windows(texts, spec))} == wanted
 
 
 def test_prefix_windows(spark, docs, none):
