@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from .common import slices
 
@@ -156,21 +157,30 @@ def training_sample(docs: DataFrame, labels: DataFrame, spec: CnnSpec) -> tuple[
     return [bytes(r["text"]) for r in rows], [int(r["quality"]) for r in rows]
 
 
-def score_documents(docs: DataFrame, model: ByteCnn) -> DataFrame:
-    """doc_id and score of every document. Null text scores as empty text; repeated rows are each scored."""
-    schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
+def score_rows(docs: DataFrame, model: ByteCnn) -> DataFrame:
+    """row (all columns of ``docs``, as they are) and score. Null text scores as empty text; repeated rows are each scored."""
 
     def run(batches):
         for part in slices(batches):
-            scores = [model.score(text) for text in part.column(1).to_pylist()]
-            yield pa.record_batch([part.column(0), pa.array(scores, pa.float64())], schema=schema)
+            scores = pa.array([model.score(text) for text in part.column(1).to_pylist()], pa.float64())
+            yield pa.record_batch([part.column(0), scores], names=["row", "score"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, score double")
+    rows = docs.select(F.struct("*").alias("row"), F.col("text").cast("string").cast("binary").alias("raw"))
+    return rows.mapInArrow(run, StructType([rows.schema["row"], StructField("score", DoubleType())]))
+
+
+def fitted(docs: DataFrame, labels: DataFrame, spec: CnnSpec = CnnSpec()) -> ByteCnn:
+    return fit(*training_sample(docs, labels, spec), spec)
 
 
 def classify(docs: DataFrame, labels: DataFrame, spec: CnnSpec = CnnSpec(), threshold: float = 0.3) -> DataFrame:
     """doc_id, held_out, score and predicted (1 from ``threshold`` on) of every document, whole texts."""
-    scored = score_documents(docs, fit(*training_sample(docs, labels, spec), spec))
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    scored = score_rows(ids, fitted(docs, labels, spec)).select("row.doc_id", "score")
     held_out = F.coalesce(remainder(F.col("doc_id")) == 0, F.lit(False))
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, spec: CnnSpec = CnnSpec(), threshold: float = 0.3) -> DataFrame:
+    """The rows of ``docs`` that score ``threshold`` or more, with all their columns."""
+    return score_rows(docs, fitted(docs, labels, spec)).where(F.col("score") >= threshold).select("row.*")

@@ -16,10 +16,11 @@ import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from stackroom.operators.joins import join_per_key
 
-from .common import row_by_row
+from .common import row_by_row, slices
 
 #: The base kinds, in the order in which spans with one start are listed.
 BASE_KINDS = ("assign", "access", "hex")
@@ -142,3 +143,21 @@ def scan_versions(docs: DataFrame, ledger: str, version: int = RULES_VERSION) ->
     seen = read_ledger(docs, ledger, version).dropDuplicates(["blob"])
     paths = docs.select(F.col("doc_id").cast("long").alias("doc_id"), blob_id(F.col("text")).alias("blob"))
     return join_per_key(paths, seen, ["blob"], "inner")
+
+
+def redact_documents(docs: DataFrame, ledger: str, version: int = RULES_VERSION) -> DataFrame:
+    """All rows of ``docs`` with every finding in ``text`` replaced, and ``n_chars`` as the text then has."""
+    update_ledger(docs, ledger, version)
+    found = read_ledger(docs, ledger, version).where("spans != ''").dropDuplicates(["blob"])
+    found = found.select(F.col("blob").alias("__blob"), F.col("spans").alias("__spans"))
+    joined = join_per_key(docs.withColumn("__blob", blob_id(F.col("text"))), found, ["__blob"], "left")
+
+    def run(batches):
+        for part in slices(batches):
+            texts = [redact(*pair) for pair in zip(part.column(1).to_pylist(), part.column(2).to_pylist())]
+            yield pa.record_batch([part.column(0), pa.array(texts, pa.string())], names=["__row", "__text"])
+
+    rows = joined.select(F.struct(*docs.columns).alias("__row"), F.col("text").cast("string"), "__spans")
+    done = rows.mapInArrow(run, StructType([rows.schema["__row"], StructField("__text", StringType())]))
+    changed = {"text": F.col("__text"), "n_chars": F.length("__text").cast(docs.schema["n_chars"].dataType)}
+    return done.select(*(changed.get(c, F.col(f"__row.`{c}`")).alias(c) for c in docs.columns))
