@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import gc
 import tempfile
+import time
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -55,10 +56,21 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(schema).parquet(folder)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete what ``materialize`` wrote, once nothing will read it again."""
+    for folder in {name.rpartition("/")[0] for name in df.inputFiles()}:
+        _remove(df.sparkSession, folder)
+
+
 def free_shuffles(spark: SparkSession) -> None:
-    """Let Spark delete shuffle files of finished jobs now rather than when the driver next collects its garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let Spark delete shuffle files of finished jobs now rather than when the driver next collects its garbage.
+
+    What the first round sets free still refers to the shuffles of the last job; the second round gets those.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.1)
 
 
 def slices(batches: Iterable[pa.RecordBatch], rows: int = ROWS_AT_ONCE) -> Iterator[pa.RecordBatch]:

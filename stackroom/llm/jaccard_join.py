@@ -42,6 +42,8 @@ class JoinSpec:
     percent: int = 75
     #: No set above this size lists subsets, whatever the costs.
     most_light: int = 24
+    #: Prefixes are cut so that linked sets have one ``common``-th of their shingles in common there.
+    common: int = 6
 
     def missing(self, n: int) -> int:
         """Most shingles of a set of ``n`` that a linked set may lack."""
@@ -78,7 +80,7 @@ def set_prefixes(docs: DataFrame, spec: JoinSpec) -> DataFrame:
                     "doc_id": batch.column(0),
                     "n": pa.array([len(s) for s in sets], pa.int32()),
                     "signature": pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
-                    "prefix": long_lists([s[: spec.missing(len(s)) + -(-len(s) // 12)] for s in sets]),
+                    "prefix": long_lists([s[: spec.missing(len(s)) + -(-len(s) // spec.common)] for s in sets]),
                 }
             )
 
@@ -89,14 +91,16 @@ def set_prefixes(docs: DataFrame, spec: JoinSpec) -> DataFrame:
 def promising(sets: DataFrame, spec: JoinSpec) -> DataFrame:
     """(set_id, n) of the documents whose prefixes share enough shingles with prefixes of other sets.
 
-    Copies do not count as others: sets are told apart by a hash of their signatures. A partner has at least percent * n shingles, so its prefix was cut for at least a twelfth of that in common.
+    Copies do not count as others: sets are told apart by a hash of their signatures. A partner has at least percent * n
+    shingles, so its prefix was cut for at least that share of n / ``common`` in common.
     """
-    rows = sets.select("doc_id", "n", F.xxhash64("signature").alias("of"), F.explode("prefix").alias("shingle"))
+    rows = sets.select("doc_id", F.xxhash64("signature").alias("of"), F.explode("prefix").alias("shingle"))
     shared = rows.groupBy("shingle").agg(F.min("of").alias("first"), F.max("of").alias("last"))
     shared = materialize(shared.where("first < last").select("shingle"), "shared-prefix-shingles")
-    found = join_per_key(rows.drop("of"), shared, ["shingle"], "inner").groupBy("doc_id", "n").count()
-    needed = F.ceil(F.ceil(F.col("n") * spec.percent / 100) / 12)
-    return found.where(F.col("count") >= needed).select(F.col("doc_id").alias("set_id"), "n")
+    found = join_per_key(rows.drop("of"), shared, ["shingle"], "inner").groupBy("doc_id").count()
+    needed = F.ceil(F.ceil(F.col("n") * spec.percent / 100) / spec.common)
+    counted = sets.select("doc_id", "n").join(found, "doc_id")
+    return counted.where(F.col("count") >= needed).select(F.col("doc_id").alias("set_id"), "n")
 
 
 def whole_sets(docs: DataFrame, chosen: DataFrame) -> DataFrame:
@@ -118,10 +122,11 @@ def ordered_sets(sets: DataFrame, spec: JoinSpec) -> DataFrame:
 
     Sets with more lone shingles than a link may miss are out.
     """
-    rows = sets.select("set_id", "n", F.explode("shingles").alias("shingle"))
-    counts = rows.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
+    rows = sets.select("set_id", F.explode("shingles").alias("shingle"))
+    counts = materialize(rows.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1"), "shingle-counts")
     counted = join_per_key(rows, counts, ["shingle"], "inner")
-    grouped = counted.groupBy("set_id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("order"))
+    grouped = counted.groupBy("set_id").agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("order"))
+    grouped = sets.select("set_id", "n").join(grouped, "set_id")
     lone = (F.col("n") - F.size("order")).alias("lone")
     left = grouped.select("set_id", "n", lone, "order").where(F.col("lone") <= missing(F.col("n"), spec))
     prefix = F.slice("order", F.lit(1), missing(F.col("n"), spec) + 1 - F.col("lone"))
@@ -187,8 +192,11 @@ def heavy_links(sets: DataFrame, light: DataFrame, boundary: int, spec: JoinSpec
     narrow = materialize(lists.drop("prefix"), "inverted-lists")
     hub = narrow.groupBy("shingle").agg(F.min(F.struct("lone", "n", "set_id")).alias("hub"), F.count("*").alias("rows")).where("rows > 1")
     offered = join_per_key(narrow, hub, ["shingle"], "inner").where(F.col("set_id") != F.col("hub.set_id"))
-    offered = offered.where(near_size(F.col("n"), F.col("hub.n"), spec)).select(F.col("set_id").alias("a"), F.col("hub.set_id").alias("b"))
-    links = materialize(verified(offered.distinct(), sets, spec).unionAll(light), "hub-links")
+    offered = offered.where(near_size(F.col("n"), F.col("hub.n"), spec)).groupBy("set_id").agg(F.collect_set("hub").alias("hubs"))
+    # The likeliest hubs will do here: whatever they do not bring together is compared below.
+    offered = offered.select(F.col("set_id").alias("a"), F.explode(F.slice(F.array_sort("hubs"), 1, 2)).alias("hub"))
+    links = verified(materialize(offered.select("a", F.col("hub.set_id").alias("b")), "offered-pairs"), sets, spec)
+    links = materialize(links.unionAll(light), "hub-links")
 
     classes = components(links)
     own = classes.select(F.col("id").alias("set_id"), "component")
@@ -196,7 +204,7 @@ def heavy_links(sets: DataFrame, light: DataFrame, boundary: int, spec: JoinSpec
     classed = materialize(classed, "classed-lists")
     open_ = classed.groupBy("shingle").agg(F.min("component").alias("c"), F.max("component").alias("d")).where("c < d").select("shingle")
     rest = join_per_key(classed, open_, ["shingle"], "inner")
-    rest = join_per_key(rest, sets.select("set_id", prefix.alias("prefix")), ["set_id"], "inner")
+    rest = materialize(join_per_key(rest, sets.select("set_id", prefix.alias("prefix")), ["set_id"], "inner"), "open-lists")
     a, b = rest.alias("x"), rest.alias("y")
     x, y = (lambda c: F.col(f"x.{c}")), (lambda c: F.col(f"y.{c}"))
     left = lambda v: v("n") - v("lone") - v("at")  # noqa: E731  shingles of the set from this one on
@@ -210,7 +218,7 @@ def heavy_links(sets: DataFrame, light: DataFrame, boundary: int, spec: JoinSpec
         & enough(F.least(left(x), left(y)), x("n"), y("n"), spec)
         & (F.get(F.array_intersect(x("prefix"), y("prefix")), F.lit(0)) == x("shingle"))
     )
-    pairs = a.join(b, meet).select(x("set_id").alias("a"), y("set_id").alias("b"))
+    pairs = materialize(a.join(b, meet).select(x("set_id").alias("a"), y("set_id").alias("b")), "open-pairs")
     return links.unionAll(verified(pairs, sets, spec))
 
 
@@ -235,3 +243,10 @@ def link_classes(docs: DataFrame, spec: JoinSpec = JoinSpec()) -> DataFrame:
     rows = join_per_key(prefixes.select("doc_id", "n", "signature"), named, ["signature"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return rows.select("doc_id", F.col("n").cast("long").alias("n_shingles"), component.alias("component_id"))
+
+
+def keep_one(docs: DataFrame, spec: JoinSpec = JoinSpec()) -> DataFrame:
+    """The rows of ``docs`` with the least id of their class, one for each id; rows without an id stay."""
+    heads = link_classes(docs, spec).where("doc_id = component_id").select("doc_id").distinct()
+    kept = docs.join(heads.withColumnRenamed("doc_id", "__head"), F.col("doc_id") == F.col("__head"), "left_semi")
+    return kept.dropDuplicates(["doc_id"]).unionByName(docs.where(F.col("doc_id").isNull()))
