@@ -7,8 +7,8 @@ string starts elsewhere is found in stages, none of which loses a match:
 2. Every string has an anchor, the least hash among its ``gram``-byte pieces. Equal strings have equal anchors, so
    only anchors that different texts share matter. Neighbouring strings mostly have the same anchor; together they are
    a segment of at most ``size + most_strings - 1`` bytes.
-3. Segments with shared anchors are gathered, equal ones as one row with the least id.
-4. The distinct segments of an anchor meet in one bucket. A bucket is cut into shards; each shard's suffixes are
+3. Segments with shared anchors are gathered by hash, equal ones as one row with the least id.
+4. The distinct segments of an anchor, if there are several, meet in one bucket with their bytes. A bucket is cut into shards; each shard's suffixes are
    sorted and give its transform. The transforms are merged by refining an interleave: round k takes, in the order by
    the first k-1 bytes, the byte before each suffix, and sorts by it stably, which is the order by the first k bytes.
    Places where the order by k bytes sets neighbours apart bound the common prefixes. After ``size`` rounds, rows
@@ -25,19 +25,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stackroom.operators.joins import join_per_key
 
-from .common import materialize, mix, slices
+from .common import discard, materialize, mix, slices
 from .jaccard_join import long_lists
 
 
 @dataclass(frozen=True)
 class SubstringSpec:
-    """``gram`` is 16 bytes, hashed by doubling; a bucket holds about ``bucket_rows`` segments."""
+    """``gram``: bytes of an anchor; short ones are shared by chance, long ones are more. A bucket holds about ``bucket_rows`` segments."""
 
     size: int = 50
     gram: int = 16
@@ -47,6 +46,7 @@ class SubstringSpec:
 
 
 BYTES = mix(np.arange(1, 257, dtype=np.uint64))
+FACTOR = mix(np.arange(400, 401, dtype=np.uint64))[0] | np.uint64(1)
 STEPS = tuple(int(x) | 1 for x in mix(np.arange(301, 331, dtype=np.uint64)))
 
 
@@ -54,9 +54,15 @@ def string_anchors(raw: bytes, spec: SubstringSpec) -> np.ndarray:
     """The anchor of the string that starts at each byte."""
     if len(raw) < spec.size:
         return np.empty(0, np.uint64)
-    hashed, size = BYTES[np.frombuffer(raw, np.uint8)], 1
-    while size < spec.gram:
-        hashed = hashed[:-size] * np.uint64(STEPS[size]) + hashed[size:]
+    doubled, size = BYTES[np.frombuffer(raw, np.uint8)], 1
+    hashed, done = None, 0
+    while True:
+        if spec.gram & size:  # this power of two is a part of the gram
+            hashed = doubled if hashed is None else hashed[: len(doubled) - done] * np.uint64(STEPS[size]) + doubled[done:]
+            done += size
+        if 2 * size > spec.gram:
+            break
+        doubled = doubled[:-size] * np.uint64(STEPS[size - 1]) + doubled[size:]
         size *= 2
     least, width, window = mix(hashed), 1, spec.size - spec.gram + 1
     while 2 * width <= window:
@@ -106,29 +112,57 @@ def shared_anchors(texts: DataFrame) -> DataFrame:
     return met.groupBy("doc_id").agg(F.collect_list("anchor").alias("anchors"))
 
 
+def segment_hashes(raw: bytes, first: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """A hash of each piece of ``raw``: polynomials of hashed bytes, all from one running sum."""
+    powers = np.full(len(raw) + 1, FACTOR, np.uint64)
+    powers[0] = 1
+    np.multiply.accumulate(powers, out=powers)
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(BYTES[np.frombuffer(raw, np.uint8)] * powers[:-1], out=sums[1:])
+    # Every piece is brought to the power that the text's end has.
+    return mix((sums[first + length] - sums[first]) * powers[len(raw) - first] + length.astype(np.uint64))
+
+
 def shared_segments(docs: DataFrame, chosen: DataFrame, spec: SubstringSpec) -> DataFrame:
-    """doc_id, start, anchor, segment and its hash, for every segment of the chosen texts with a shared anchor."""
-    fields = [("doc_id", pa.int64()), ("start", pa.int64()), ("anchor", pa.int64()), ("segment", pa.binary()), ("hash", pa.int64())]
-    schema = pa.schema(fields)
+    """doc_id, start, strings, anchor and hash, for every segment of the chosen texts with a shared anchor; no bytes yet."""
 
     def run(batches):
-        for batch in slices(batches, 16):
-            out = [[] for _ in fields]
-            for doc_id, wanted, raw in zip(*(batch.column(i).to_pylist() for i in range(3))):
+        for batch in slices(batches, 64):
+            found = []
+            for doc_id, wanted, raw in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
                 anchors = string_anchors(raw, spec).view(np.int64)
                 first, count = segment_runs(anchors, spec)
-                hit = np.isin(anchors[first], np.asarray(wanted, np.int64))
+                hit = np.isin(anchors[first], wanted.values.to_numpy())
                 first, count = first[hit], count[hit]
-                parts = [raw[a : a + n + spec.size - 1] for a, n in zip(first.tolist(), count.tolist())]
-                out[0] += [doc_id] * len(parts)
-                out[1] += first.tolist()
-                out[2] += anchors[first].tolist()
-                out[3] += parts
-                out[4] += [xxhash.xxh3_64_intdigest(p) - (1 << 63) for p in parts]
-            yield pa.record_batch([pa.array(c, t) for c, (_, t) in zip(out, fields)], schema=schema)
+                hashed = segment_hashes(raw, first, count + spec.size - 1).view(np.int64)
+                found.append(np.stack([np.full(len(first), doc_id), first, count, anchors[first], hashed]))
+            rows = np.concatenate([np.empty((5, 0), np.int64), *found], axis=1)
+            yield pa.record_batch(list(map(pa.array, rows)), names=["doc_id", "start", "strings", "anchor", "hash"])
 
     rows = chosen.join(raw_texts(docs), "doc_id").select("doc_id", "anchors", "text")
-    return rows.mapInArrow(run, "doc_id long, start long, anchor long, segment binary, hash long")
+    return rows.mapInArrow(run, "doc_id long, start long, strings long, anchor long, hash long")
+
+
+def segment_bytes(docs: DataFrame, segments: DataFrame, spec: SubstringSpec) -> DataFrame:
+    """anchor, hash, first and segment: the bytes of segments at (first, start), from the texts of the documents ``first``."""
+    schema = pa.schema([("anchor", pa.int64()), ("hash", pa.int64()), ("first", pa.int64()), ("segment", pa.binary())])
+
+    def run(batches):
+        for batch in slices(batches, 64):
+            out = [[] for _ in schema]
+            places = batch.column(1)
+            start, strings, anchor, hashed = (x.to_pylist() for x in places.flatten().flatten())
+            ends = np.cumsum([0, *places.value_lengths().to_pylist()]).tolist()
+            for doc_id, raw, i, j in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), ends, ends[1:]):
+                out[0] += anchor[i:j]
+                out[1] += hashed[i:j]
+                out[2] += [doc_id] * (j - i)
+                out[3] += [raw[a : a + n + spec.size - 1] for a, n in zip(start[i:j], strings[i:j])]
+            yield pa.record_batch([pa.array(c, f.type) for c, f in zip(out, schema)], schema=schema)
+
+    per_text = segments.groupBy(F.col("first").alias("doc_id")).agg(F.collect_list(F.struct("start", "strings", "anchor", "hash")).alias("places"))
+    rows = per_text.join(raw_texts(docs).dropDuplicates(["doc_id"]), "doc_id").select("doc_id", "places", "text")
+    return rows.mapInArrow(run, "anchor long, hash long, first long, segment binary")
 
 
 def shard_transform(segments: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -229,18 +263,21 @@ def single_strings(segments: DataFrame, spec: SubstringSpec) -> DataFrame:
     return met.groupBy("anchor", "hash").agg(ordered.alias("o")).select("anchor", "hash", F.col("o.least").alias("firsts"))
 
 
-def first_owners(segments: DataFrame, spec: SubstringSpec) -> DataFrame:
+def first_owners(docs: DataFrame, segments: DataFrame, spec: SubstringSpec) -> DataFrame:
     """(anchor, hash, firsts): for each string of each distinct segment the least doc_id that has the string."""
-    distinct = segments.groupBy("anchor", "hash", "segment").agg(F.min("doc_id").alias("first"))
+    place = F.struct(F.col("doc_id").alias("first"), "start", "strings")
+    distinct = segments.groupBy("anchor", "hash").agg(F.min(place).alias("place")).select("anchor", "hash", "place.*")
     distinct = materialize(distinct, "distinct-segments")
     counts = distinct.groupBy("anchor").agg(F.count("*").alias("rows"))
     counted = materialize(join_per_key(distinct, counts, ["anchor"], "inner"), "counted-segments")
-    alone = counted.where("rows = 1")
-    alone = alone.select("anchor", "hash", F.array_repeat("first", (F.length("segment") - spec.size + 1).cast("int")).alias("firsts"))
-    many = counted.where((F.col("rows") > 1) & (F.col("rows") <= spec.bucket_rows))
-    buckets = -(-many.count() // spec.bucket_rows)
-    found = alone.unionByName(single_strings(counted.where(F.col("rows") > spec.bucket_rows), spec))
-    return found.unionByName(merged_buckets(many, buckets, spec)) if buckets else found
+    discard(distinct)
+    alone = counted.where("rows = 1").select("anchor", "hash", F.array_repeat("first", F.col("strings").cast("int")).alias("firsts"))
+    many = materialize(segment_bytes(docs, counted.where("rows > 1"), spec), "segment-bytes")
+    rare = counted.where((F.col("rows") > 1) & (F.col("rows") <= spec.bucket_rows)).select("anchor").distinct()
+    few, frequent = many.join(rare, "anchor", "left_semi"), many.join(rare, "anchor", "left_anti")
+    buckets = -(-counted.where((F.col("rows") > 1) & (F.col("rows") <= spec.bucket_rows)).count() // spec.bucket_rows)
+    found = alone.unionByName(single_strings(frequent, spec))
+    return found.unionByName(merged_buckets(few, buckets, spec)) if buckets else found
 
 
 def earlier(firsts: Column, doc_id: Column) -> Column:
@@ -278,9 +315,11 @@ def remove_repeats(docs: DataFrame, spec: SubstringSpec = SubstringSpec()) -> Da
     heads = texts.where(F.col("n_bytes") >= spec.size).groupBy("whole").agg(F.min("doc_id").alias("head"))
     heads = materialize(heads, "distinct-texts")
     chosen = materialize(shared_anchors(texts), "chosen-texts")
+    wide, texts = texts, materialize(texts.drop("anchors"), "texts")
+    discard(wide)
     chosen = chosen.join(heads.select(F.col("head").alias("doc_id")).distinct(), "doc_id", "left_semi")
     segments = materialize(shared_segments(docs, chosen, spec), "segments")
-    owners = materialize(first_owners(segments, spec), "string-owners")
+    owners = materialize(first_owners(docs, segments, spec), "string-owners")
     met = segments.select("doc_id", "start", "anchor", "hash").join(owners, ["anchor", "hash"])
     bits = met.select("doc_id", "start", earlier(F.col("firsts"), F.col("doc_id")).alias("bits")).where("bits != 0")
     hits = bits.groupBy("doc_id").agg(F.collect_set(F.struct("start", "bits")).alias("hits"))
