@@ -131,13 +131,21 @@ def typed_pages(pages: DataFrame) -> DataFrame:
     return join_per_key(rows, last, ["digest"], "inner").select("page_id", "url", "payload", "response_id")
 
 
+def dictionary_sample(pages: DataFrame, spec: WarcSpec) -> list:
+    """At most ``dict_rows`` short pages, chosen by hash. The hashes are chosen first, so few pages reach the driver."""
+    rows = pages.where(F.length(F.coalesce("html", F.lit(""))) <= spec.dict_row_bytes).select("page_id", "url", "html")
+    rows = rows.withColumn("place", F.xxhash64("page_id", "html"))
+    places = rows.select("place").distinct().orderBy("place").limit(spec.dict_rows)
+    # At most dict_rows numbers are broadcast; repeated rows are cut off once more.
+    return rows.join(F.broadcast(places), "place", "left_semi").drop("place").limit(spec.dict_rows).collect()
+
+
 def write_archives(pages: DataFrame, folder: str, spec: WarcSpec = WarcSpec()) -> DataFrame:
     """Write ``pages`` (page_id, url, html) as archives below ``folder``; returns the manifest (file, records, bytes).
 
     Repeated rows of the largest page id are all responses; a null page id loses to any other.
     """
-    short = pages.where(F.length(F.coalesce("html", F.lit(""))) <= spec.dict_row_bytes)
-    sample = short.select("page_id", "url", "html").orderBy(F.xxhash64("page_id", "html")).limit(spec.dict_rows).collect()
+    sample = dictionary_sample(pages, spec)
     records = [page_record(r["page_id"], r["url"], (r["html"] or "").encode(), None, False, spec) for r in sample]
     dictionary = train_dictionary(records, spec)
 
