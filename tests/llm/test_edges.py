@@ -273,3 +273,33 @@ def test_folded_bpe(spark, docs, none, common):
         assert (row.n_tokens, row.ids, row.decoded) == (len(ids), ",".join(map(str, ids)), row.text or "")
     assert byte_bpe.encode_documents(docs, spec).count() == len(ROWS)
     assert byte_bpe.encode_documents(none, spec).count() == 0
+
+
+def test_compact_windows_try_every_partner(spark):
+    """Each of 60 documents repeats a passage of its own partner, among lines that stand in many smaller documents."""
+    import random
+
+    draw = random.Random(5)
+    new = lambda n: [f"u{draw.randrange(10**9)}" for _ in range(n)]
+    lines = [new(16) for _ in range(12)]
+    bases = [sum(draw.sample(lines, 5), []) for _ in range(60)]
+    rows = [(i, " ".join(new(60) + line + new(60))) for i, line in enumerate(lines * 3)]
+    rows += [(1000 + i, " ".join(new(30) + base + new(30))) for i, base in enumerate(bases)]
+    rows += [(2000 + i, " ".join(new(30) + base + new(30))) for i, base in enumerate(bases)]
+    found = compact_windows.repeated_passages(spark.createDataFrame(rows, SCHEMA)).collect()
+    covered = {}
+    for r in found:
+        covered.setdefault(r.doc_id, set()).update(range(r.start, r.end))
+    assert all(set(range(30, 110)) <= covered.get(2000 + i, set()) for i in range(60))
+
+
+def test_compact_windows_go_on_after_a_partner_that_fails(spark):
+    """A document 0.63 similar to the smallest of its group and 0.86 to the next finds the next."""
+    rows = []
+    for group in range(40):
+        words = [f"g{group}w{i}" for i in range(70)]
+        middle = [f"m{group}w{i}" if i in (10, 30, 50) else w for i, w in enumerate(words)]
+        late = [f"l{group}w{i}" if i == 40 else w for i, w in enumerate(middle)]
+        rows += [(group, " ".join(words)), (100 + group, " ".join(middle)), (200 + group, " ".join(late))]
+    found = compact_windows.repeated_passages(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sum(any(r.doc_id == 200 + g and r.partner_id == 100 + g and r.end - r.start == 70 for r in found) for g in range(40)) >= 39
