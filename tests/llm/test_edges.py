@@ -303,3 +303,33 @@ def test_compact_windows_go_on_after_a_partner_that_fails(spark):
         rows += [(group, " ".join(words)), (100 + group, " ".join(middle)), (200 + group, " ".join(late))]
     found = compact_windows.repeated_passages(spark.createDataFrame(rows, SCHEMA)).collect()
     assert sum(any(r.doc_id == 200 + g and r.partner_id == 100 + g and r.end - r.start == 70 for r in found) for g in range(40)) >= 39
+
+
+def test_passages_with_an_edited_word_beside_a_frequent_line():
+    """Passages of 50 to 95 words with one edit, and a line beside them that the partner has elsewhere: brute force finds, so must we."""
+    import random
+
+    import numpy as np
+
+    draw = random.Random(7)
+    new = lambda n: [f"e{draw.randrange(10**9)}" for _ in range(n)]
+    hashes = compact_windows.WordHashes()
+    tokens = lambda words: compact_windows.shingle_hashes(" ".join(words).encode(), hashes)
+    for _ in range(200):
+        passage, line = new(draw.randrange(60, 96)), new(draw.randrange(10, 19))
+        edited = list(passage)
+        edited[draw.randrange(len(passage) // 3, 2 * len(passage) // 3)] = "edit"
+        mine = new(20) + (edited + line if draw.random() < 0.5 else line + edited) + new(20)
+        far = new(draw.randrange(20, 150))
+        theirs = new(20) + (passage + far + line if draw.random() < 0.5 else line + far + passage) + new(20)
+        own, other = tokens(mine), tokens(theirs)
+        place = mine.index(edited[0]), theirs.index(passage[0])
+        x, y = (set(t[i : i + len(passage) - 4].tolist()) for t, i in zip((own, other), place))
+        assert len(x & y) / len(x | y) >= 0.75
+        covered = set()
+        for a, b, c, d, similarity in compact_windows.passages(own, other, compact_windows.PassageSpec()):
+            p, q = set(own[a : b + 1].tolist()), set(other[c : d + 1].tolist())
+            assert abs(len(p & q) / len(p | q) - similarity) < 1e-9 and similarity >= 0.75
+            covered |= set(range(a, b + 1))
+        assert set(range(place[0], place[0] + len(passage) - 4)) <= covered
+        assert not np.isin(own[:10], other).any()
