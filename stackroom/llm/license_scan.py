@@ -7,7 +7,8 @@ its first common word. Coverage is the share of the template's words that are al
 of ``coverage`` or more.
 
 Regions are found by the template's words alone: places in the text whose word the template has, chained over gaps of
-at most ``gap`` other words. A text that lacks too many of a template's words for the coverage asked for is not
+at most ``gap`` other words. Where the alignment of a region reaches no hit, as when anchors of several copies mix, the
+longest chain of aligned words at most ``gap`` words apart is sought exactly. A text that lacks too many of a template's words for the coverage asked for is not
 aligned with it; both steps lose no hit.
 """
 
@@ -131,6 +132,38 @@ def regions(places: list[int], gap: int) -> list[tuple[int, int]]:
     return [tuple(x) for x in out]
 
 
+def longest_chain(words: list[str], a: int, b: int, template: list[str], spec: LicenseSpec) -> tuple[int, int, int] | None:
+    """(count, first, last) of the first chain in words[a:b + 1] that reaches the coverage; None if there is none.
+
+    A chain is words aligned with rising places of the template, at most ``gap`` other words apart. Of equal chains the
+    one that begins last counts, so that no word of a copy before is taken along.
+    """
+    n, needed = len(template), spec.coverage * len(template)
+    spots: dict[str, list[int]] = {}
+    for j, w in enumerate(template):
+        spots.setdefault(w, []).append(j)
+    recent: list[tuple[int, list[tuple[int, int, int]]]] = []
+    top = None
+    for i in range(a, b + 1):
+        if top and i - top[2] > spec.gap + 1:
+            break
+        if words[i] not in spots:
+            continue
+        recent = [x for x in recent if i - x[0] <= spec.gap + 1]
+        before = [(0, i)] * (n + 1)  # the longest chain that ends before each place of the template
+        for _, chains in recent:
+            for j, count, began in chains:
+                before[j + 1] = max(before[j + 1], (count, began))
+        for j in range(n):
+            before[j + 1] = max(before[j + 1], before[j])
+        chains = [(j, before[j][0] + 1, before[j][1]) for j in spots[words[i]]]
+        recent.append((i, chains))
+        for _, count, began in chains:
+            if count >= needed and (top is None or count > top[0]):
+                top = (count, began, i)
+    return top
+
+
 def find_licenses(text: str | None, templates: dict[str, list[str]], spec: LicenseSpec = LicenseSpec()) -> list[tuple[str, int, int, float]]:
     """(name, start, end, coverage) of all hits, in words, end exclusive; a region is tried again after each hit.
 
@@ -150,11 +183,14 @@ def find_licenses(text: str | None, templates: dict[str, list[str]], spec: Licen
                 continue
             places = align(words[a : b + 1], template, spec)
             # The aligned words that lie close together; far ones belong to other text.
-            for first, last in regions([i for i, _ in places], spec.gap):
-                count = sum(first <= i <= last for i, _ in places)
-                if count >= needed:
-                    found.append((count, name, a + first, a + last + 1, round(count / len(template), 6)))
-                    todo += [(a, a + first - 1), (a + last + 1, b)]
+            close = [(sum(x <= i <= y for i, _ in places), a + x, a + y) for x, y in regions([i for i, _ in places], spec.gap)]
+            good = [x for x in close if x[0] >= needed]
+            if not good and (chain := longest_chain(words, a, b, template, spec)):
+                good = [chain]
+            found += [(count, name, first, last + 1, round(count / len(template), 6)) for count, first, last in good]
+            if good:  # what lies before, between and after them
+                ends = [a - 1, *(x for _, first, last in good for x in (first, last)), b + 1]
+                todo += [(x + 1, y - 1) for x, y in zip(ends[::2], ends[1::2])]
     hits: list[tuple[str, int, int, float]] = []
     for _, *hit in sorted(found, key=lambda x: (-x[0], -x[4], x[2], x[1])):
         if all(hit[2] <= h[1] or h[2] <= hit[1] for h in hits):

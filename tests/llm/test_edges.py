@@ -333,3 +333,26 @@ def test_passages_with_an_edited_word_beside_a_frequent_line():
             covered |= set(range(a, b + 1))
         assert set(range(place[0], place[0] + len(passage) - 4)) <= covered
         assert not np.isin(own[:10], other).any()
+
+
+def test_two_unequal_copies_of_a_licence():
+    """Copies that lack or change words, close together, against the longest common subsequence of each place and the template."""
+    import random
+
+    draw = random.Random(8)
+    template = license_scan.words_of(license_scan.TEMPLATES["mit"])
+    cut = {"mit": template}
+    broken = [w if w != "limitation" else "limits" for w in template]
+    hits = license_scan.find_licenses(" ".join(broken + template), cut)
+    assert [(h[3], h[2] - h[1]) for h in hits] == [(round(48 / 49, 6), 49), (1.0, 49)]
+    for _ in range(150):
+        copies = [[w if draw.random() > 0.1 else f"x{draw.randrange(99)}" for w in template] for _ in range(draw.randrange(1, 4))]
+        words, spans = [], []
+        for copy in copies:
+            words += ["z"] * draw.randrange(5)
+            spans.append((len(words), len(words) + len(copy)))
+            words += copy
+        hits = license_scan.find_licenses(" ".join(words), cut)
+        for a, b in spans:
+            if len(license_scan.common_subsequence(words[a:b], template)) >= 0.8 * len(template):
+                assert any(max(a, h[1]) < min(b, h[2]) for h in hits), (a, b, hits)
