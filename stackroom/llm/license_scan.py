@@ -8,7 +8,9 @@ of ``coverage`` or more.
 
 Regions are found by the template's words alone: places in the text whose word the template has, chained over gaps of
 at most ``gap`` other words. Where the alignment of a region reaches no hit, as when anchors of several copies mix, the
-longest chain of aligned words at most ``gap`` words apart is sought exactly. A text that lacks too many of a template's words for the coverage asked for is not
+longest chain of aligned words at most ``gap`` words apart is sought exactly. Words that tell licences apart (versions,
+clause counts, nc, nd, sa, lesser, affero) must all be among the aligned ones, and others of them must not stand between;
+in templates of more than ``short`` words other numbers may. A text that lacks too many of a template's words for the coverage asked for is not
 aligned with it; both steps lose no hit.
 """
 
@@ -33,7 +35,18 @@ TEMPLATES: dict[str, str] = {
     "cc-by-nc-4.0-line": "Licensed under CC BY-NC 4.0.",
     "cc-by-4.0-line": "Licensed under CC BY 4.0.",
     "cc-by-sa-4.0-line": "Licensed under CC BY-SA 4.0.",
+    "cc-by-nd-4.0-line": "Licensed under CC BY-ND 4.0.",
+    "cc-by-nc-nd-4.0-line": "Licensed under CC BY-NC-ND 4.0.",
+    "cc-by-nc-sa-4.0-line": "Licensed under CC BY-NC-SA 4.0.",
+    "cc-by-3.0-line": "Licensed under CC BY 3.0.",
+    "cc-by-sa-3.0-line": "Licensed under CC BY-SA 3.0.",
     "bsd-3-line": "Released under the BSD 3-Clause License.",
+    "bsd-2-line": "Released under the BSD 2-Clause License.",
+    "gpl-2.0-line": "This work is licensed under the GNU General Public License, version 2.",
+    "lgpl-3.0-line": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "lgpl-2.1-line": "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+    "agpl-3.0-line": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "mpl-2.0-line": "Licensed under the Mozilla Public License, Version 2.0.",
     "apache-2.0-notice": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance "
     "with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
     "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation "
@@ -43,10 +56,22 @@ TEMPLATES: dict[str, str] = {
     "conditions are met",
     "gpl-3.0-notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
     "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "gpl-2.0-notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
+    "License as published by the Free Software Foundation, either version 2 of the License, or (at your option) any later version.",
+    "lgpl-2.1-notice": "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
+    "License as published by the Free Software Foundation, either version 2.1 of the License, or (at your option) any later version.",
+    "lgpl-3.0-notice": "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
+    "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "agpl-3.0-notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public "
+    "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "mpl-2.0-notice": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+    "distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
     "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
 }
 
 WORD = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
+NUMBER = re.compile(r"v?([0-9]+(?:\.[0-9]+)*?)(?:\.0)?")
+KINDS = frozenset(("nc", "nd", "sa", "lesser", "affero", "noncommercial", "noderivatives", "noderivs", "sharealike"))
 
 
 @dataclass(frozen=True)
@@ -54,12 +79,28 @@ class LicenseSpec:
     coverage: float = 0.8
     gap: int = 12
     small: int = 4096
+    short: int = 16
 
 
 def words_of(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
+def alike(words: list[str]) -> list[str]:
+    """The words with version numbers written in one way: v3 and 3.0 are 3."""
+    return [m[1] if (m := NUMBER.fullmatch(w)) else w for w in words]
+
+
+def tells_apart(word: str, template: list[str], spec: LicenseSpec) -> bool:
+    """Whether the word between aligned words says that the text is another licence than the template."""
+    return word in KINDS or (len(template) <= spec.short and NUMBER.fullmatch(word) is not None)
+
+
+def required(template: list[str]) -> frozenset[int]:
+    """Places of the words that a hit must align: the first of each number and kind."""
+    return frozenset(template.index(w) for w in set(template) if w in KINDS or NUMBER.fullmatch(w))
+
+
 def rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Longest subsequence of ``pairs``, sorted by the first place, that rises in the second, by patience sorting."""
     tops: list[int] = []
@@ -138,7 +179,10 @@ def longest_chain(words: list[str], a: int, b: int, template: list[str], spec: L
     A chain is words aligned with rising places of the template, at most ``gap`` other words apart. Of equal chains the
     one that begins last counts, so that no word of a copy before is taken along.
     """
-    n, needed = len(template), spec.coverage * len(template)
+    must = required(template)
+    # A word that must be there counts for more than all others together.
+    more = len(template) + 1
+    n, needed = len(template), spec.coverage * len(template) + more * len(must)
     spots: dict[str, list[int]] = {}
     for j, w in enumerate(template):
         spots.setdefault(w, []).append(j)
@@ -147,7 +191,9 @@ def longest_chain(words: list[str], a: int, b: int, template: list[str], spec: L
     for i in range(a, b + 1):
         if top and i - top[2] > spec.gap + 1:
             break
+        apart = tells_apart(words[i], template, spec)
         if words[i] not in spots:
+            recent = [] if apart else recent
             continue
         recent = [x for x in recent if i - x[0] <= spec.gap + 1]
         before = [(0, i)] * (n + 1)  # the longest chain that ends before each place of the template
@@ -156,12 +202,12 @@ def longest_chain(words: list[str], a: int, b: int, template: list[str], spec: L
                 before[j + 1] = max(before[j + 1], (count, began))
         for j in range(n):
             before[j + 1] = max(before[j + 1], before[j])
-        chains = [(j, before[j][0] + 1, before[j][1]) for j in spots[words[i]]]
-        recent.append((i, chains))
+        chains = [(j, before[j][0] + 1 + more * (j in must), before[j][1]) for j in spots[words[i]]]
+        recent = [*([] if apart else recent), (i, chains)]
         for _, count, began in chains:
             if count >= needed and (top is None or count > top[0]):
                 top = (count, began, i)
-    return top
+    return top and (top[0] - more * len(must), *top[1:])
 
 
 def find_licenses(text: str | None, templates: dict[str, list[str]], spec: LicenseSpec = LicenseSpec()) -> list[tuple[str, int, int, float]]:
@@ -169,11 +215,13 @@ def find_licenses(text: str | None, templates: dict[str, list[str]], spec: Licen
 
     Where hits of several templates overlap, the one with most aligned words stands, then the one with most coverage.
     """
-    words = words_of(text or "")
+    words = alike(words_of(text or ""))
     present, found = set(words), []
     for name, template in templates.items():
+        template = alike(template)
+        must = required(template)
         needed = spec.coverage * len(template)
-        if sum(w in present for w in template) < needed:
+        if sum(w in present for w in template) < needed or not all(template[j] in present for j in must):
             continue
         own = set(template)
         todo = regions([i for i, w in enumerate(words) if w in own], spec.gap)
@@ -184,7 +232,14 @@ def find_licenses(text: str | None, templates: dict[str, list[str]], spec: Licen
             places = align(words[a : b + 1], template, spec)
             # The aligned words that lie close together; far ones belong to other text.
             close = [(sum(x <= i <= y for i, _ in places), a + x, a + y) for x, y in regions([i for i, _ in places], spec.gap)]
-            good = [x for x in close if x[0] >= needed]
+            to = {a + i: j for i, j in places}
+            good = [
+                (count, x, y)
+                for count, x, y in close
+                if count >= needed
+                and must <= {to[i] for i in range(x, y + 1) if i in to}
+                and not any(tells_apart(words[i], template, spec) for i in range(x, y + 1) if i not in to)
+            ]
             if not good and (chain := longest_chain(words, a, b, template, spec)):
                 good = [chain]
             found += [(count, name, first, last + 1, round(count / len(template), 6)) for count, first, last in good]

@@ -356,3 +356,21 @@ def test_two_unequal_copies_of_a_licence():
         for a, b in spans:
             if len(license_scan.common_subsequence(words[a:b], template)) >= 0.8 * len(template):
                 assert any(max(a, h[1]) < min(b, h[2]) for h in hits), (a, b, hits)
+
+
+@pytest.mark.parametrize("name", list(license_scan.TEMPLATES))
+def test_each_licence_is_told_from_its_siblings(name):
+    cut = {k: license_scan.words_of(t) for k, t in license_scan.TEMPLATES.items()}
+    found = license_scan.find_licenses("Some text. " + license_scan.TEMPLATES[name] + " More text.", cut)
+    assert [h[0] for h in found] == [name] and found[0][3] == 1.0
+
+
+def test_a_licence_without_a_template_is_not_taken_for_its_sibling():
+    cut = {k: license_scan.words_of(t) for k, t in license_scan.TEMPLATES.items()}
+    names = lambda text: [h[0] for h in license_scan.find_licenses(text, cut)]
+    notice = license_scan.TEMPLATES["gpl-3.0-notice"]
+    assert names(notice.replace("version 3", "version 2")) == ["gpl-2.0-notice"]
+    assert names("Licensed under CC BY-ND 3.0.") == names("Licensed under CC BY 2.5.") == names("Released under the BSD 4-Clause License.") == []
+    assert names("Licensed under CC BY-ND 4.0.") == ["cc-by-nd-4.0-line"] and names("Released under the BSD 2-Clause License.") == ["bsd-2-line"]
+    assert names("Licensed under CC BY 2.5. Licensed under CC BY 4.0.") == ["cc-by-4.0-line"]
+    assert names(notice.replace("version 3", "version 3.0")) == ["gpl-3.0-notice"]
