@@ -247,6 +247,8 @@ def encode_documents(docs: DataFrame, spec: BpeSpec, keep: tuple[str, ...] = ())
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     rows = docs.select(F.struct(F.col("doc_id").cast("long").alias("doc_id"), *keep).alias("row"), text)
     counts = rows.select(F.explode(words_of(F.col("text"), spec.pattern)).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    # Longer words are encoded in place: the table that every worker holds is bounded in bytes as well.
+    counts = counts.where(F.octet_length("word") <= spec.long_word)
     common = materialize(counts.orderBy(F.desc("n"), "word").limit(spec.common_words).select("word"), "bpe-common-words")
     maps = RankMap(spec)
     table = word_table(materialize(encode_words(common.repartition(rows.sparkSession.sparkContext.defaultParallelism), maps), "bpe-words"))

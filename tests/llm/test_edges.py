@@ -374,3 +374,18 @@ def test_a_licence_without_a_template_is_not_taken_for_its_sibling():
     assert names("Licensed under CC BY-ND 4.0.") == ["cc-by-nd-4.0-line"] and names("Released under the BSD 2-Clause License.") == ["bsd-2-line"]
     assert names("Licensed under CC BY 2.5. Licensed under CC BY 4.0.") == ["cc-by-4.0-line"]
     assert names(notice.replace("version 3", "version 3.0")) == ["gpl-3.0-notice"]
+
+
+def test_long_words_stay_out_of_the_table_of_common_words(spark, monkeypatch):
+    import public_tokenizers
+    import tiktoken
+
+    spec = byte_bpe.BpeSpec(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, long_word=64)
+    held = []
+    plain_table = byte_bpe.word_table
+    monkeypatch.setattr(byte_bpe, "word_table", lambda encoded: held.append(sorted(r.word for r in encoded.select("word").collect())) or plain_table(encoded))
+    rows = [(i, "ab " + "x" * 64 + " " + "y" * 900) for i in range(50)]
+    encoding = tiktoken.Encoding("own", pat_str=spec.pattern, mergeable_ranks=byte_bpe.read_ranks(spec.ranks), special_tokens={})
+    for row in byte_bpe.encode_documents(spark.createDataFrame(rows, SCHEMA), spec).collect():
+        assert row.ids == ",".join(map(str, encoding.encode_ordinary(rows[0][1])))
+    assert "ab" in held[0] and max(len(w.encode()) for w in held[0]) <= 64
