@@ -140,6 +140,18 @@ SELECT page_id, strlen(html) AS payload_bytes, array_to_string(list_transform(ra
  CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> last THEN last END AS refers_to, url
 FROM bits"""
 
+FILL_IN_MIDDLE = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+drawn AS (SELECT doc_id, t, length(t) AS n, list_transform(range(0, 4), lambda i: CAST('0x' || substr(h, CAST(8 * i + 1 AS BIGINT), 8) AS BIGINT)) AS r FROM d),
+cut AS (SELECT *, least(r[1] % (n + 1), r[2] % (n + 1)) AS a, greatest(r[1] % (n + 1), r[2] % (n + 1)) AS b,
+  CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR r[3] % 100 >= 90 THEN 'plain'
+   WHEN r[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+pieces AS (SELECT *, substr(t, 1, a) AS p, substr(t, a + 1, b - a) AS m, substr(t, b + 1) AS s FROM cut)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+ sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+ sha256(t) AS restored_sha256
+FROM pieces"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_risk_rules": _rules(),
     "op3_blob_ledger": _secrets(),
@@ -147,4 +159,5 @@ ORACLE_SQL: dict[str, str] = {
     "op5_heavy_light_join": CLASSES,
     "op7_prefix_windows": CONTAMINATION,
     "op8_dictionary_warc": ARCHIVE,
+    "op11_rank_index_fim": FILL_IN_MIDDLE,
 }
