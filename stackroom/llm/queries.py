@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bwt_dedup, byte_bpe, compact_windows, decontaminate, fim, jaccard_join, license_scan, quality_cnn, quality_rules, secret_scan, warc
+from . import bwt_dedup, byte_bpe, compact_windows, decontaminate, fim, hmm_score, jaccard_join, license_scan, quality_cnn, quality_rules, secret_scan, warc
 from .common import shared_folder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,3 +85,8 @@ def op11_rank_index_fim(spark, folder):
     cut = fim.rearrange(table(spark, folder, "documents"))
     digests = F.sha2("output", 256).alias("output_sha256"), F.sha2(fim.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256")
     return cut.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+@query
+def op12_hidden_markov(spark, folder):
+    return hmm_score.score_documents(table(spark, folder, "documents"))
