@@ -152,6 +152,26 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CA
  sha256(t) AS restored_sha256
 FROM pieces"""
 
+TRIE = r"""
+WITH turns AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS p,
+  {'role': coalesce(role, ''), 'text': coalesce(text, '')} AS x FROM conversations WHERE conv_id IS NOT NULL),
+seqs AS (SELECT c, list(x ORDER BY p) AS xs FROM turns GROUP BY c),
+drawn AS (SELECT c, xs, xor(4294967295, list_reduce(flatten(list_transform(string_split(CAST(c AS VARCHAR), ''),
+   lambda d: [CAST(ascii(d) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1])),
+   lambda a, v: CASE WHEN v >= 0 THEN xor(a, v) ELSE xor(a >> 1, CASE WHEN a & 1 = 1 THEN 3988292384 ELSE 0 END) END,
+   4294967295)) % 4 AS h FROM seqs),
+built AS (SELECT d.c, coalesce(g.xs[1:d.h], []) || d.xs[d.h + 1:] AS xs FROM drawn d LEFT JOIN seqs g ON g.c = d.c - d.c % 20),
+paths AS (SELECT c, d, xs[1:d] AS prefix, len(xs) = d AS ends FROM (SELECT c, xs, unnest(range(0, len(xs) + 1)) AS d FROM built)),
+nodes AS (SELECT prefix, d, min(c) AS conv_id, count(*) AS n_convs, string_agg(c, ',' ORDER BY c) FILTER (ends) AS ended,
+  CASE WHEN d = 0 THEN 0 ELSE len(regexp_extract_all(prefix[d].text, '[^\x20\x09-\x0D]+')) END AS words FROM paths GROUP BY prefix, d),
+kids AS (SELECT prefix[1:d - 1] AS prefix, d - 1 AS d, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL),
+placed AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN kids k ON k.d = n.d AND k.prefix = n.prefix),
+over AS (SELECT prefix[1:e] AS prefix, e AS d, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * words) AS saved_tokens
+  FROM (SELECT *, unnest(range(0, d + 1)) AS e FROM placed) GROUP BY ALL)
+SELECT n.conv_id, n.d AS depth, u.conv_id AS parent_conv_id, n.n_convs, n.n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens,
+ sha256(coalesce(n.ended, '')) AS ends_sha256
+FROM placed n JOIN over o ON o.d = n.d AND o.prefix = n.prefix LEFT JOIN nodes u ON u.d = n.d - 1 AND u.prefix = n.prefix[1:n.d - 1]"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_risk_rules": _rules(),
     "op3_blob_ledger": _secrets(),
@@ -160,4 +180,5 @@ ORACLE_SQL: dict[str, str] = {
     "op7_prefix_windows": CONTAMINATION,
     "op8_dictionary_warc": ARCHIVE,
     "op11_rank_index_fim": FILL_IN_MIDDLE,
+    "op13_block_trie": TRIE,
 }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bwt_dedup, byte_bpe, compact_windows, decontaminate, fim, hmm_score, jaccard_join, license_scan, quality_cnn, quality_rules, secret_scan, warc
+from . import bwt_dedup, byte_bpe, compact_windows, conversation_trie, decontaminate, fim, hmm_score, jaccard_join, license_scan, quality_cnn, quality_rules, secret_scan, warc
 from .common import shared_folder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,3 +90,8 @@ def op11_rank_index_fim(spark, folder):
 @query
 def op12_hidden_markov(spark, folder):
     return hmm_score.score_documents(table(spark, folder, "documents"))
+
+
+@query
+def op13_block_trie(spark, folder):
+    return conversation_trie.rebuilt_trie(table(spark, folder, "conversations"))
