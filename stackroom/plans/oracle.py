@@ -47,6 +47,10 @@ def _percent(part: str, whole: str) -> str:
     return f"CASE WHEN {whole} = 0 THEN 0.0 ELSE ((2000000 * {part} + {whole}) // (2 * {whole})) / 10000.0 END"
 
 
+def _unblanked(column: str) -> str:
+    return f"trim({column}, (SELECT string_agg(chr(CAST(i AS INTEGER)), '') FROM range(1, 33) t(i)))"
+
+
 STD_BOOKS = f"""
 SELECT book_no, {_tidy("title")} AS title, {_key("title")} AS title_key, {_tidy("description")} AS description,
  {_tidy("authors")} AS authors, {_tidy("image_url")} AS image_url, {_tidy("preview_link")} AS preview_link,
@@ -272,6 +276,12 @@ FROM good_books b LEFT JOIN (SELECT title_key, count(*) AS review_count,
 ORACLE_SQL: dict[str, str] = {
     "csv_ingest": "SELECT trim(text, (SELECT string_agg(chr(CAST(i AS INTEGER)), '') FROM range(1, 33) t(i))) AS text,"
     " CAST(doc_id AS VARCHAR) AS doc_id, lang AS language, source FROM documents",
+    "csv_one_file": f"SELECT lang AS language, {_unblanked('text || text')} AS twice, {_unblanked('text')} AS text,"
+    " CAST(doc_id AS VARCHAR) AS doc_id, TRUE AS in_ranges FROM documents",
+    "csv_bad_records": f"""WITH r AS (SELECT *, '"' || replace(text, '"', '""') || '"' AS q, doc_id % 7 AS kind FROM documents)
+SELECT {_unblanked("text")} AS text, CAST(doc_id AS VARCHAR) AS doc_id, lang, '' AS reasons FROM r WHERE kind NOT IN (3, 4, 5)
+UNION ALL SELECT CASE kind WHEN 3 THEN q || ',' || doc_id || ',' || lang || ',extra' WHEN 4 THEN q
+ ELSE q || 'tail,' || doc_id || ',' || lang END, NULL, NULL, CASE WHEN kind = 5 THEN 'quotes' ELSE 'columns' END FROM r WHERE kind IN (3, 4, 5)""",
     "csv_table": "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,"
     " o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders",
     "sink_orc_partitioned": "SELECT * FROM lineitem",

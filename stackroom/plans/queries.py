@@ -22,7 +22,8 @@ from stackroom.plans import bookstore as rules
 from stackroom.plans import flow
 from stackroom.plans.jobs import JOBS
 from stackroom.plans.fixtures import raw_books, raw_reviews, table
-from stackroom.sources.raw_csv import CSV_DEFAULTS, CsvContract, read_raw_csv
+from stackroom.sources.csv_ranges import read_records
+from stackroom.sources.raw_csv import CSV_DEFAULTS, CsvContract, read_in_ranges, read_parts, read_raw_csv
 from stackroom.sources.tables import Assets, read_table, write_failed_rows, write_summary, write_table
 from stackroom.sources.workspace import SHARED_FOLDER, new_folder
 
@@ -87,6 +88,43 @@ def csv_ingest(spark, folder):
     return read_raw_csv(spark, path, DOCUMENTS_CONTRACT)
 
 
+@query
+def csv_one_file(spark, folder):
+    """Documents as one multi-line CSV file with each text once and twice, read in ranges; were there several?"""
+    path = new_folder(spark, "csv_one_file")
+    documents = table(spark, folder, "documents").select("doc_id", "text", F.repeat("text", 2).alias("twice"), "lang")
+    write_table(
+        documents.coalesce(1), path, "csv", escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    )
+    contract = CsvContract((("lang", "language"), ("twice", "twice"), ("text", "text"), ("doc_id", "doc_id")))
+    ranges = read_records(spark, path, contract.reader_options()).ranges
+    return read_in_ranges(spark, path, contract).withColumn("in_ranges", F.lit(ranges > 1))
+
+
+@query
+def csv_bad_records(spark, folder):
+    """Documents as CSV records without a header, of which every seventh each has a field too many, too few, or text after a quote.
+
+    Good rows have no reasons; bad records come as they stand in the file.
+    """
+    path = new_folder(spark, "csv_bad_records")
+    text = F.concat(F.lit('"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"'))
+    whole = F.concat_ws(",", text, "doc_id", "lang")
+    kind = F.col("doc_id") % 7
+    record = (
+        F.when(kind == 3, F.concat(whole, F.lit(",extra")))
+        .when(kind == 4, text)
+        .when(kind == 5, F.concat_ws(",", F.concat(text, F.lit("tail")), "doc_id", "lang"))
+        .otherwise(whole)
+    )
+    records = table(spark, folder, "documents").orderBy("doc_id").select(record.alias("value"))
+    write_table(records, path, "text")
+    contract = CsvContract((("_c0", "text"), ("_c1", "doc_id"), ("_c2", "lang")), {"header": False})
+    good, bad = read_parts(spark, path, contract)
+    shaped = bad.select(F.col("record").alias("text"), F.lit(None).cast("string").alias("doc_id"), F.lit(None).cast("string").alias("lang"), "reasons")
+    return good.withColumn("reasons", F.lit("")).unionAll(shaped)
+
+
 @query
 def csv_table(spark, folder):
     """A table written and read back as header CSV: every column is text. Price and date take their types again."""
