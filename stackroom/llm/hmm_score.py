@@ -48,7 +48,7 @@ class HmmSpec:
     classes: int = 16_384
     rounds: int = 4
     stay: float = 0.9
-    prior: float = 200.0
+    prior: float = 2000.0
     hot_share: int = 250_000
     modulus: int = 5
     held_out: int = 1

@@ -2,7 +2,9 @@
 
 import base64
 import hashlib
+import math
 import re
+import zlib
 from collections import Counter, defaultdict
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -129,3 +131,79 @@ def archive(pages):
         to = last[html or ""]
         out.append((page, len(raw), digest, "response" if to == page else "revisit", None if to == page else to))
     return out
+
+
+def fill_in_middle(doc, text, seed="1"):
+    """(n, form, prefix, middle, output) of a text."""
+    text = text or ""
+    n = len(text)
+    digest = sha256(f"{seed}:{'' if doc is None else doc}")
+    h1, h2, h3, h4 = (int(digest[8 * i : 8 * i + 8], 16) for i in range(4))
+    a, b = sorted((h1 % (n + 1), h2 % (n + 1)))
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")) or h3 % 100 >= 90:
+        return n, "plain", None, None, text
+    p, m, s = text[:a], text[a:b], text[b:]
+    if h4 % 100 < 20:
+        return n, "spm", a, b - a, f"<S>{s}<P>{p}<M>{m}"
+    return n, "psm", a, b - a, f"<P>{p}<S>{s}<M>{m}"
+
+
+def tokens(text):
+    """Lower-cased words, and None for the end."""
+    return [*SPACE_WORD.findall((text or "").translate(LOWER)), None]
+
+
+def held_out(doc):
+    return doc is not None and zlib.crc32(str(doc).encode()) % 5 == 1
+
+
+def unigrams(docs):
+    """Training counts, and for each of the (doc_id, text) rows (held_out, n_tokens, n_known, train_tokens, base_score)."""
+    seen = Counter(w for d, t in docs if not held_out(d) for w in tokens(t))
+    n, v = sum(seen.values()), len(seen)
+    out = []
+    for d, t in docs:
+        words = tokens(t)
+        base = sum(math.log10((seen[w] + 0.5) / (n + 0.5 * (v + 1))) for w in words)
+        out.append((held_out(d), len(words), sum(seen[w] > 0 for w in words), n, base))
+    return seen, out
+
+
+def forward_log(start, move, emit, steps):
+    """Natural logarithm of the probability of one sequence, a step and a state at a time."""
+    total, states = 0.0, range(len(start))
+    share = [start[k] * emit[steps[0]][k] for k in states]
+    for step in steps[1:]:
+        scale = sum(share)
+        total += math.log(scale)
+        share = [sum(share[j] / scale * move[j][k] for j in states) * emit[step][k] for k in states]
+    return total + math.log(sum(share))
+
+
+def trie(turns, every=20, most=4):
+    """Nodes of rebuilt conversations from (conv_id, turn, role, text) rows."""
+    talks = defaultdict(list)
+    for conv, turn, role, text in turns:
+        if conv is not None:
+            talks[conv].append((turn is not None, turn or 0, role or "", text or ""))
+    talks = {c: [x[2:] for x in sorted(rows, key=lambda r: r[:2])] for c, rows in talks.items()}
+    members, ends, words, kids = defaultdict(list), defaultdict(list), {}, defaultdict(set)
+    for c, own in talks.items():
+        h = zlib.crc32(str(c).encode()) % most
+        built = tuple(talks.get(c - c % every, [])[:h] + own[h:])
+        ends[built].append(c)
+        for d in range(len(built) + 1):
+            members[built[:d]].append(c)
+            words[built[:d]] = len(SPACE_WORD.findall(built[d - 1][1])) if d else 0
+            if d:
+                kids[built[: d - 1]].add(built[:d])
+    leaves, saved = Counter(), Counter()
+    for node, has in members.items():
+        for d in range(len(node) + 1):
+            leaves[node[:d]] += node not in kids
+            saved[node[:d]] += (len(has) - 1) * words[node]
+    return [
+        (min(has), len(node), min(members[node[:-1]]) if node else None, len(has), len(kids.get(node, ())), leaves[node], saved[node],
+         sha256(",".join(map(str, sorted(ends.get(node, []))))))
+        for node, has in members.items()
+    ]
