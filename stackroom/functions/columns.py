@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -15,6 +15,21 @@ def field(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def exact_name(spark: SparkSession) -> Callable[[str], str]:
+    """What decides whether Spark takes two names for one."""
+    exact = spark.conf.get("spark.sql.caseSensitive", "false").lower() == "true"
+    return str if exact else str.lower
+
+
+def free_name(stem: str, *frames: DataFrame) -> str:
+    """A column name that none of the frames has, whatever the case of letters."""
+    taken = {name.lower() for df in frames for name in df.columns}
+    name = stem
+    while name in taken:
+        name += "_"
+    return name
+
+
 def all_of(conditions: Iterable[Column]) -> Column:
     return reduce(and_, conditions)
 

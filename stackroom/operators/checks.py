@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from stackroom.functions.columns import all_of, any_of, field, hashable, row_hash
+from stackroom.functions.columns import all_of, any_of, field, free_name, hashable, row_hash
 from stackroom.functions.scoring import percent
 from stackroom.operators.derive import known_options, require_columns
 from stackroom.operators.joins import join_per_key
@@ -197,8 +197,9 @@ def rows_with_repeated_key(df: DataFrame, check: Check) -> DataFrame:
     """Rows whose key occurs more than once, key columns first. A null never equals a null."""
     keys = list(check.key_columns)
     complete = df.filter(_complete_key(check))
-    groups = complete.groupBy(*[field(k) for k in keys]).agg(F.count(F.lit(1)).alias("__rows"))
-    repeated = groups.filter(F.col("__rows") > 1).drop("__rows")
+    rows = free_name("key_rows", complete)
+    groups = complete.groupBy(*[field(k) for k in keys]).agg(F.count(F.lit(1)).alias(rows))
+    repeated = groups.filter(F.col(rows) > 1).drop(rows)
     others = [c for c in df.columns if c not in keys]
     return join_per_key(complete, repeated, keys, "left_semi").select(*[field(c) for c in keys + others])
 

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, VariantType
 
-from stackroom.functions.columns import field
+from stackroom.functions.columns import exact_name, field, free_name
 from stackroom.operators.derive import known_options
 from stackroom.operators.joins import equi_join
 
@@ -101,12 +101,6 @@ def serve(inputs: Mapping[str, DataFrame], spec: ServingSpec) -> DataFrame:
     return df
 
 
-def _plain_name(spark: SparkSession) -> Callable[[str], str]:
-    """What decides whether Spark takes two names for one."""
-    exact = spark.conf.get("spark.sql.caseSensitive", "false").lower() == "true"
-    return str if exact else str.lower
-
-
 def _require_clear(names: Sequence[str], shared: set[str]) -> None:
     unclear = sorted(shared & set(names))
     if unclear:
@@ -129,7 +123,7 @@ def _join(left: DataFrame, right: DataFrame, join: JoinSpec) -> tuple[DataFrame,
     keys = list(join.left_on)
     semi = "semi" in join.how or "anti" in join.how
     same_names = join.left_on == join.right_on
-    same = _plain_name(left.sparkSession)
+    same = exact_name(left.sparkSession)
     taken, kept = {same(c) for c in left.columns}, {same(c) for c in join.right_on}
     clashes = {c for c in right.columns if same(c) in taken - kept}
     names = {same(c) for c in clashes}
@@ -140,9 +134,9 @@ def _join(left: DataFrame, right: DataFrame, join: JoinSpec) -> tuple[DataFrame,
         return equi_join(left, right, keys, join.how, join.right_unique), set() if semi else clashes
 
     # Other key names: the right ones leave the result, and with them the key of right-only rows.
-    renamed = {k: f"__key_{i}" for i, k in enumerate(join.right_on)}
+    renamed = {k: free_name(f"join_key_{i}", left, right) for i, k in enumerate(join.right_on)}
     right = right.withColumnsRenamed(renamed)
-    left = left.withColumns({f"__key_{i}": field(k) for i, k in enumerate(keys)})
+    left = left.withColumns({name: field(k) for name, k in zip(renamed.values(), keys)})
     joined = equi_join(left, right, list(renamed.values()), join.how, join.right_unique)
     return joined.drop(*renamed.values()), set() if semi else clashes
 
@@ -161,6 +155,7 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] =
         return df.dropDuplicates(list(keys))
     ranked = [c for c in order_by if c not in keys]
     ranked += [c for c in rest if c not in ranked]
-    smallest = F.min(F.struct(*[field(c) for c in ranked])).alias("__row")
+    row = free_name("first_row", df)
+    smallest = F.min(F.struct(*[field(c) for c in ranked])).alias(row)
     grouped = df.groupBy(*[field(k) for k in keys]).agg(smallest)
-    return grouped.select(*[field(c) if c in keys else F.col("__row").getField(c).alias(c) for c in df.columns])
+    return grouped.select(*[field(c) if c in keys else F.col(row).getField(c).alias(c) for c in df.columns])

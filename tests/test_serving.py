@@ -245,16 +245,93 @@ def test_unique_right_side_takes_one_join(spark, small_skew):
     assert out.exceptAll(hot_rows(spark).join(few, "k", "left")).count() == 0
 
 
-def test_a_chain_on_one_key_is_split_at_each_join(spark, small_skew):
-    few = [spark.range(0, 20000, step, 4).selectExpr("id k", f"id y{step}") for step in (2, 3)]
-    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
-    try:
-        out = hot_rows(spark)
-        for right in few:
-            out = joins.equi_join(out, right, ["k"], "left")
-        assert final_plan(out).count("skew=true") >= 2
-    finally:
-        spark.conf.unset("spark.sql.adaptive.forceOptimizeSkewedJoin")
+def wide_rows(spark, n, hot):
+    """A third of the rows have the key ``hot``; texts do not compress."""
+    return spark.range(0, n, 1, 16).selectExpr(f"if(id % 3 = 0, {hot}, id) k", "md5(string(id)) x")
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "full"])
+def test_a_chain_on_one_key_is_split_at_each_join(spark, small_skew, how):
+    """As sessions come: nothing has to be set for it."""
+    assert spark.conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin") == "false"
+    few = [spark.range(1, 2000, step, 4).selectExpr("id k", f"id y{step}") for step in (2, 4)]
+    out = native = wide_rows(spark, 60000, 9)
+    for right in few:
+        out, native = joins.equi_join(out, right, ["k"], how), native.join(right, "k", how)
+    assert final_plan(out).count("skew=true") >= 2
+    assert out.exceptAll(native).count() == native.exceptAll(out).count() == 0
+
+
+@pytest.mark.parametrize("how", ["left", "right", "full"])
+def test_outer_joins_split_a_key_that_is_hot_on_both_sides(spark, small_skew, how):
+    """A third of either side: both are cut, and the join's tasks get parts of the key's rows."""
+    left, right = wide_rows(spark, 12000, 9), wide_rows(spark, 6000, 9).withColumnRenamed("x", "y")
+    counted = joins.equi_join(left, right, ["k"], how).groupBy().agg({"x": "max", "y": "min", "k": "count"})
+    plan = final_plan(counted)
+    joined = plan[plan.index("SortMergeJoin(skew=true)") :]
+    assert joined.count("AQEShuffleRead coalesced and skewed") >= 2 or joined.count("AQEShuffleRead skewed") >= 2
+    assert counted.collect() == left.join(right, "k", how).groupBy().agg({"x": "max", "y": "min", "k": "count"}).collect()
+
+
+@pytest.mark.parametrize("how", ["left", "right", "full"])
+def test_outer_joins_take_whole_rows_once(spark, tmp_path, how):
+    """Of either input one scan has all columns; whatever else is read of it is the key alone."""
+    spark.range(100).selectExpr("id % 7 k", "id x", "id z").write.parquet(str(tmp_path / "l"))
+    spark.range(100).selectExpr("id % 9 k", "id y").write.parquet(str(tmp_path / "r"))
+    left, right = (spark.read.parquet(str(tmp_path / side)) for side in "lr")
+
+    def scans(df):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        return [line.split("ReadSchema: ")[1] for line in plan.splitlines() if "FileScan" in line]
+
+    schemas = scans(joins.equi_join(left, right, ["k"], how))
+    assert sum("x:" in s for s in schemas) == sum("y:" in s for s in schemas) == 1
+    assert all(s == "struct<k:bigint>" for s in schemas if "x:" not in s and "y:" not in s)
+    assert len(schemas) == 3 or how != "left"
+    chain = left
+    for name in "abcd":
+        chain = joins.equi_join(chain, right.withColumnRenamed("y", name), ["k"], "left")
+    assert len(scans(chain)) == 1 + 2 * 4, "the first table once, the others twice"
+
+
+NAMES = ("__check", "key_check", "key_0", "left_0", "right_0", "group", "of_left", "in_left", "join_key_0", "first_row", "key_rows")
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "right", "full", "left_semi", "left_anti"])
+@pytest.mark.parametrize("unique", [False, True])
+def test_no_column_of_the_user_is_lost(spark, how, unique):
+    left = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k int, x string")
+    right = spark.createDataFrame([(1, "p"), (3, "q"), (None, "r")], "k int, y string")
+    for i, name in enumerate(NAMES):
+        left = left.withColumn(name, left.x) if i % 2 == 0 or "semi" in how or "anti" in how else left
+        right = right.withColumn(name, right.y) if i % 2 else right
+    out, native = joins.equi_join(left, right, ["k"], how, right_unique=unique), left.join(right, "k", how)
+    assert out.columns == native.columns and rows(out) == rows(native)
+    keyed = right.select("k").distinct()
+    assert rows(joins.join_per_key(left, keyed, ["k"], "left_semi")) == rows(left.join(keyed, "k", "left_semi"))
+
+
+def test_helper_names_elsewhere(spark):
+    df = spark.createDataFrame([(1, 2, "a"), (1, 1, "b")], "k int, first_row int, key_rows string")
+    assert rows(first_per_key(df, ["k"])) == [(1, 1, "b")]
+    assert rows_with_repeated_key(df, Check("u", "duplicate_key", "warning", key_columns=("k",))).count() == 2
+
+
+@pytest.mark.parametrize("how", ["left", "right", "full"])
+def test_keys_with_zeros_nan_and_parts_of_null(spark, how):
+    values = "CASE id % 6 WHEN 0 THEN 0D WHEN 1 THEN -0D WHEN 2 THEN double('NaN') WHEN 3 THEN NULL ELSE double(id) END"
+    left = spark.range(24).selectExpr(f"{values} a", "if(id % 5 = 0, NULL, id % 2) b", "id x")
+    right = spark.range(10, 34).selectExpr(f"{values} a", "if(id % 4 = 0, NULL, id % 2) b", "id y")
+    out, native = joins.equi_join(left, right, ["a", "b"], how), left.join(right, ["a", "b"], how)
+    plain = lambda df: sorted(str(tuple(r)).replace("-0.0", "0.0") for r in df.collect())
+    assert plain(out) == plain(native)
+
+
+@pytest.mark.parametrize("how", ["left", "right", "full"])
+def test_a_table_with_itself(spark, how):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d")], "k int, x string")
+    one, two = df, df.filter("x <> 'c'").withColumnRenamed("x", "y")
+    assert rows(joins.equi_join(one, two, ["k"], how)) == rows(one.join(two, "k", how))
 
 
 def test_names_that_differ_in_case_clash(spark, sides):
