@@ -151,6 +151,6 @@ def decontaminate(docs: DataFrame, items: DataFrame, spec: DecontaminateSpec = D
 
 def keep_clean(docs: DataFrame, items: DataFrame, spec: DecontaminateSpec = DecontaminateSpec()) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with all their columns."""
-    found = decontaminate(docs, items, spec).where("contaminated").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__hash"))
-    return docs.join(found, same, "left_anti")
+    found = decontaminate(docs, items, spec).where("contaminated").select("doc_id", "text_hash").alias("found")
+    same = F.col("docs.doc_id").cast("long").eqNullSafe(F.col("found.doc_id")) & (F.xxhash64("docs.text") == F.col("found.text_hash"))
+    return docs.alias("docs").join(found, same, "left_anti")

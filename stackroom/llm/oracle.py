@@ -83,8 +83,9 @@ def _secrets() -> str:
 WITH found AS ({kinds})
 SELECT d.doc_id, {", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in ("assign", "access", "hex"))},
  sha256({listed.format(filter="FILTER (place < 3)")}) AS base_sha256, {listed.format(filter="FILTER (kind IS NOT NULL)")} AS spans,
- sha256(coalesce(any_value(d.text), '')) AS blob
-FROM documents d LEFT JOIN found f ON d.doc_id = f.doc_id GROUP BY d.doc_id"""
+ sha256(coalesce(any_value(d.text), '')) AS blob, any_value(d.scan) AS scan
+FROM (SELECT *, CASE WHEN bool_or(coalesce(lang = 'en', FALSE)) OVER (PARTITION BY coalesce(text, '')) THEN 1 ELSE 2 END AS scan FROM documents) d
+LEFT JOIN found f ON d.doc_id = f.doc_id GROUP BY d.doc_id"""
 
 
 REPEATS = """

@@ -29,8 +29,11 @@ def op1_risk_rules(spark, folder):
 
 @query
 def op3_blob_ledger(spark, folder):
-    found = secret_scan.scan_versions(table(spark, folder, "documents"), shared_folder(spark, "secret-ledger"))
-    return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "blob")
+    """The table arrives in two deliveries, the English documents and then all; ``scan`` tells which of the two scanned a content."""
+    documents, ledger = table(spark, folder, "documents"), shared_folder(spark, "secret-ledger")
+    secret_scan.update_ledger(documents.where("lang = 'en'"), ledger)
+    found = secret_scan.scan_versions(documents, ledger)
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "blob", "scan")
 
 
 @query

@@ -18,9 +18,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from stackroom.functions.columns import field
 from stackroom.operators.joins import join_per_key
 
-from .common import row_by_row, slices
+from .common import free_shuffles, row_by_row, slices
 
 #: The base kinds, in the order in which spans with one start are listed.
 BASE_KINDS = ("assign", "access", "hex")
@@ -95,6 +96,7 @@ def blob_id(text: Column) -> Column:
 
 
 FINDING = "blob string, rules_version int, n_assign long, n_access long, n_hex long, base_sha256 string, spans string"
+LEDGER = f"{FINDING}, scan int"
 
 
 def scan_blobs(blobs: DataFrame, version: int) -> DataFrame:
@@ -113,24 +115,27 @@ def scan_blobs(blobs: DataFrame, version: int) -> DataFrame:
 def read_ledger(docs: DataFrame, ledger: str, version: int) -> DataFrame:
     spark = docs.sparkSession
     try:
-        table = spark.read.schema(FINDING).parquet(ledger)
+        table = spark.read.schema(LEDGER).parquet(ledger)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        table = spark.createDataFrame([], FINDING)
+        table = spark.createDataFrame([], LEDGER)
     return table.where(F.col("rules_version") == version)
 
 
 def update_ledger(docs: DataFrame, ledger: str, version: int = RULES_VERSION) -> None:
-    """Scan the contents of ``docs`` that ``ledger`` has not seen under ``version`` and append them.
+    """Scan the contents of ``docs`` that ``ledger`` has not seen under ``version`` and append them, with the number of this scan.
 
     Copies meet in one aggregation that keeps one text for each content already on the map side, so a content that a
     third of all rows has is one row per map task after it. Known contents are left out by an anti join before that.
     """
     texts = docs.select(blob_id(F.col("text")).alias("blob"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    known = read_ledger(docs, ledger, version).select("blob").distinct()
-    unseen = texts if known.isEmpty() else texts.join(known, "blob", "left_anti")
-    scan_blobs(unseen.groupBy("blob").agg(F.first("text").alias("text")), version).write.mode("append").parquet(ledger)
+    ledger_rows = read_ledger(docs, ledger, version)
+    scans = ledger_rows.agg(F.coalesce(F.max("scan"), F.lit(0))).first()[0]
+    unseen = texts.join(ledger_rows.select("blob").distinct(), "blob", "left_anti") if scans else texts
+    found = scan_blobs(unseen.groupBy("blob").agg(F.first("text").alias("text")), version)
+    found.withColumn("scan", F.lit(scans + 1)).write.mode("append").parquet(ledger)
+    free_shuffles(docs.sparkSession)
 
 
 def scan_versions(docs: DataFrame, ledger: str, version: int = RULES_VERSION) -> DataFrame:
@@ -146,18 +151,19 @@ def scan_versions(docs: DataFrame, ledger: str, version: int = RULES_VERSION) ->
 
 
 def redact_documents(docs: DataFrame, ledger: str, version: int = RULES_VERSION) -> DataFrame:
-    """All rows of ``docs`` with every finding in ``text`` replaced, and ``n_chars`` as the text then has."""
+    """All rows of ``docs`` with every finding in ``text`` replaced, and ``n_chars``, if there is one, as the text then has."""
     update_ledger(docs, ledger, version)
-    found = read_ledger(docs, ledger, version).where("spans != ''").dropDuplicates(["blob"])
-    found = found.select(F.col("blob").alias("__blob"), F.col("spans").alias("__spans"))
-    joined = join_per_key(docs.withColumn("__blob", blob_id(F.col("text"))), found, ["__blob"], "left")
+    found = read_ledger(docs, ledger, version).where("spans != ''").dropDuplicates(["blob"]).select("blob", "spans")
+    rows = docs.select(F.struct(*[field(c) for c in docs.columns]).alias("row"), F.col("text").cast("string").alias("text"), blob_id(F.col("text")).alias("blob"))
+    joined = join_per_key(rows, found, ["blob"], "left").select("row", "text", "spans")
 
     def run(batches):
         for part in slices(batches):
             texts = [redact(*pair) for pair in zip(part.column(1).to_pylist(), part.column(2).to_pylist())]
-            yield pa.record_batch([part.column(0), pa.array(texts, pa.string())], names=["__row", "__text"])
+            yield pa.record_batch([part.column(0), pa.array(texts, pa.string())], names=["row", "text"])
 
-    rows = joined.select(F.struct(*docs.columns).alias("__row"), F.col("text").cast("string"), "__spans")
-    done = rows.mapInArrow(run, StructType([rows.schema["__row"], StructField("__text", StringType())]))
-    changed = {"text": F.col("__text"), "n_chars": F.length("__text").cast(docs.schema["n_chars"].dataType)}
-    return done.select(*(changed.get(c, F.col(f"__row.`{c}`")).alias(c) for c in docs.columns))
+    done = joined.mapInArrow(run, StructType([joined.schema["row"], StructField("text", StringType())]))
+    changed = {"text": F.col("text")}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+    return done.select(*(changed.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns))
