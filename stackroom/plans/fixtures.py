@@ -51,24 +51,17 @@ SELECT l_orderkey AS review_no, l_linenumber AS review_line,
 FROM {lineitem} JOIN {part} ON l_partkey = p_partkey
 """
 
-# Short texts, and whole documents where there is one with that number (elsewhere null).
-SHORT_DESCRIPTION = "CASE WHEN p_partkey % 4 = 0 THEN '  ' ELSE ' ' || p_type || ' item' END"
-SHORT_TEXT = "CASE WHEN l_orderkey % 9 = 0 THEN '' ELSE l_returnflag || CAST(l_partkey AS STRING) END"
-WHOLE_TEXT = "text"
-BOOK_TEXTS = "LEFT JOIN {documents} ON doc_id = p_partkey"
-REVIEW_TEXTS = "LEFT JOIN {documents} ON doc_id = l_orderkey"
+# Whole documents where there is one with that number, elsewhere null; some are blank.
+DESCRIPTION = "CASE WHEN p_partkey % 4 = 0 THEN '  ' ELSE text END"
+REVIEW_TEXT = "CASE WHEN l_orderkey % 9 = 0 THEN '' ELSE text END"
 
 
-def books_sql(whole_texts: bool = False) -> str:
-    if whole_texts:
-        return RAW_BOOKS.replace("{description}", WHOLE_TEXT) + BOOK_TEXTS
-    return RAW_BOOKS.replace("{description}", SHORT_DESCRIPTION)
+def books_sql() -> str:
+    return RAW_BOOKS.replace("{description}", DESCRIPTION) + "LEFT JOIN {documents} ON doc_id = p_partkey"
 
 
-def reviews_sql(whole_texts: bool = False) -> str:
-    if whole_texts:
-        return RAW_REVIEWS.replace("{review_text}", WHOLE_TEXT) + REVIEW_TEXTS
-    return RAW_REVIEWS.replace("{review_text}", SHORT_TEXT)
+def reviews_sql() -> str:
+    return RAW_REVIEWS.replace("{review_text}", REVIEW_TEXT) + "LEFT JOIN {documents} ON doc_id = l_orderkey"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -81,9 +74,9 @@ def _run(spark: SparkSession, folder: str, sql: str) -> DataFrame:
     return spark.sql(sql, **tables)
 
 
-def raw_books(spark: SparkSession, folder: str, whole_texts: bool = False) -> DataFrame:
-    return _run(spark, folder, books_sql(whole_texts))
+def raw_books(spark: SparkSession, folder: str) -> DataFrame:
+    return _run(spark, folder, books_sql())
 
 
-def raw_reviews(spark: SparkSession, folder: str, whole_texts: bool = False) -> DataFrame:
-    return _run(spark, folder, reviews_sql(whole_texts))
+def raw_reviews(spark: SparkSession, folder: str) -> DataFrame:
+    return _run(spark, folder, reviews_sql())

@@ -15,9 +15,10 @@ from stackroom.operators.defaults import fill_defaults
 from stackroom.operators.enrich import EnrichSpec, enrich
 from stackroom.operators.profile import first_rows, table_profile
 from stackroom.operators.quarantine import eligible, rejects
+from stackroom.operators.report_state import ReviewState
 from stackroom.operators.serving import ServingSpec, serve
 from stackroom.operators.standardize import StandardizeSpec, standardize
-from stackroom.operators.surrogate import SurrogateKey, assign_keys
+from stackroom.operators.surrogate import SurrogateKey, assign_keys, assign_stable_keys, extend_keys
 from stackroom.plans import bookstore as rules
 from stackroom.plans import flow
 from stackroom.plans.jobs import JOBS
@@ -25,6 +26,7 @@ from stackroom.plans.fixtures import raw_books, raw_reviews, table
 from stackroom.sources.csv_ranges import read_records
 from stackroom.sources.raw_csv import CSV_DEFAULTS, CsvContract, read_in_ranges, read_parts, read_raw_csv
 from stackroom.sources.tables import Assets, read_table, write_failed_rows, write_summary, write_table
+from stackroom.sources.versions import Versions
 from stackroom.sources.workspace import SHARED_FOLDER, new_folder
 
 # A check that no book fails.
@@ -183,7 +185,7 @@ def sink_report(spark, folder):
 def sink_snapshot(spark, folder):
     """The first rows of a named table that was stored as CSV, by the snapshot job."""
     path = new_folder(spark, "snapshot")
-    write_table(table(spark, folder, "supplier").select("s_suppkey", "s_name", "s_nationkey"), path, "csv")
+    write_table(table(spark, folder, "supplier"), path, "csv")
     config = {"dataset_name": "supplier", "asset_name": "all", "input_format": "csv", "sample_rows": 25, "order_by": ["s_name"]}
     return JOBS["snapshot"](spark, config, Assets({"supplier": {"all": path}})).sample
 
@@ -194,12 +196,12 @@ def sink_snapshot(spark, folder):
 @query
 def standardize_books(spark, folder):
     spec = replace(rules.BOOKS_SILVER, passthrough_columns=("book_no", "title", "not_there"))
-    return standardize(raw_books(spark, folder, whole_texts=True), spec)
+    return standardize(raw_books(spark, folder), spec)
 
 
 @query
 def standardize_reviews(spark, folder):
-    return standardize(raw_reviews(spark, folder, whole_texts=True), rules.REVIEWS_SILVER)
+    return standardize(raw_reviews(spark, folder), rules.REVIEWS_SILVER)
 
 
 @query
@@ -240,12 +242,12 @@ def fill_defaults_raw(spark, folder):
 
 @query
 def enrich_books(spark, folder):
-    return flow.silver_books(raw_books(spark, folder, whole_texts=True)).drop("title_hash")
+    return flow.silver_books(raw_books(spark, folder)).drop("title_hash")
 
 
 @query
 def enrich_reviews(spark, folder):
-    return flow.silver_reviews(raw_reviews(spark, folder, whole_texts=True)).drop("title_hash")
+    return flow.silver_reviews(raw_reviews(spark, folder)).drop("title_hash")
 
 
 @query
@@ -294,6 +296,16 @@ def surrogate_key_unique(spark, folder):
     return standardize(raw_books(spark, folder), spec)
 
 
+@query
+def surrogate_key_batches(spark, folder):
+    """Orders numbered in two batches, those with returned lines first: all keep the number they were given."""
+    spec = SurrogateKey("l_orderkey", "order_no", start_at=1, require_unique_source=False)
+    store = Versions(spark, new_folder(spark, "order_numbers"))
+    lines = table(spark, folder, "lineitem")
+    extend_keys(lines.where("l_returnflag = 'R'"), spec, store)
+    return assign_stable_keys(lines, spec, store)
+
+
 @query
 def quarantine_eligible(spark, folder):
     books = flow.silver_books(raw_books(spark, folder))
@@ -448,8 +460,8 @@ def relationship_sample(spark, folder):
 
 @query
 def table_profile_(spark, folder):
-    books = flow.silver_books(raw_books(spark, folder, whole_texts=True))
-    reviews = flow.silver_reviews(raw_reviews(spark, folder, whole_texts=True))
+    books = flow.silver_books(raw_books(spark, folder))
+    reviews = flow.silver_reviews(raw_reviews(spark, folder))
     return table_profile(books.drop("title_hash")).unionAll(table_profile(reviews.drop("title_hash")))
 
 
@@ -464,7 +476,7 @@ def table_head(spark, folder):
 
 @query
 def serve_books_analytics(spark, folder):
-    books = flow.silver_books(raw_books(spark, folder, whole_texts=True))
+    books = flow.silver_books(raw_books(spark, folder))
     good = eligible(books, rules.BOOKS_QUARANTINE)
     return serve({"books": good}, rules.BOOKS_ANALYTICS).drop("title_hash")
 
@@ -477,7 +489,7 @@ def serve_reviews_analytics(spark, folder):
 
 @query
 def serve_reviews_science(spark, folder):
-    reviews = flow.silver_reviews(raw_reviews(spark, folder, whole_texts=True))
+    reviews = flow.silver_reviews(raw_reviews(spark, folder))
     return serve({"reviews": reviews}, rules.REVIEWS_SCIENCE).drop("title_hash")
 
 
@@ -641,14 +653,49 @@ def view_review_daily(spark, folder):
     return _gold(spark, folder).review_daily()
 
 
+def _in_batches(spark, folder):
+    """Gold tables, and the state after three batches: old reviews, the others, and a correction of all scores of 1 to 2.
+
+    The second arrives twice, and parts are added up before the third.
+    """
+    gold = _gold(spark, folder)
+    state = ReviewState(Versions(spark, new_folder(spark, "review_state")))
+    reviews = gold.reviews
+    old = F.coalesce(F.year("review_date") < 2004, F.lit(False))
+    state.add("old", reviews.filter(old))
+    for _ in range(2):
+        state.add("recent", reviews.filter(~old))
+    state.compact()
+    wrong = reviews.filter("review_score = 1")
+    state.add("correction", wrong.withColumn("review_score", F.lit(2).cast(reviews.schema["review_score"].dataType)), wrong)
+    return gold, state
+
+
+@query
+def view_book_performance_batches(spark, folder):
+    gold, state = _in_batches(spark, folder)
+    return state.book_performance(gold.books).drop("title_hash")
+
+
+@query
+def view_category_summary_batches(spark, folder):
+    gold, state = _in_batches(spark, folder)
+    return state.category_summary(gold.books)
+
+
+@query
+def view_review_daily_batches(spark, folder):
+    return _in_batches(spark, folder)[1].review_daily()
+
+
 @query
 def medallion_end_to_end(spark, folder):
     """Raw CSV through every layer on files, checks reported, then the performance report."""
     root = new_folder(spark, "flow")
     assets = flow.assets_under(root)
     for dataset, contract, raw in (
-        (rules.BOOKS, rules.BOOKS_CONTRACT, raw_books(spark, folder, whole_texts=True)),
-        (rules.REVIEWS, rules.REVIEWS_CONTRACT, raw_reviews(spark, folder, whole_texts=True)),
+        (rules.BOOKS, rules.BOOKS_CONTRACT, raw_books(spark, folder)),
+        (rules.REVIEWS, rules.REVIEWS_CONTRACT, raw_reviews(spark, folder)),
     ):
         named = raw.select(*[F.col(target).alias(source) for source, target in contract.columns])
         assets.write(named, dataset, "raw_csv", fmt="csv", escape=CSV_DEFAULTS["escape"])
