@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
 from stackroom.operators import reports
+from stackroom.operators.checks import enforce, summarize
 from stackroom.operators.defaults import fill_defaults
 from stackroom.operators.enrich import enrich
 from stackroom.operators.quarantine import eligible, rejects
@@ -15,6 +17,7 @@ from stackroom.operators.serving import serve
 from stackroom.operators.standardize import standardize
 from stackroom.plans import bookstore as rules
 from stackroom.plans.bookstore import BOOKS, REVIEWS
+from stackroom.plans.layers import Layer, Release, Run, Source, run_layers
 from stackroom.plans.jobs import report_checks, report_relationship
 from stackroom.sources.raw_csv import read_raw_csv
 from stackroom.sources.tables import Assets
@@ -144,6 +147,62 @@ def run_flow(
     return written
 
 
+def _layers() -> list[Layer]:
+    """The flow as layers: each clean table is one plan from its first layer."""
+    eligible_rules, books = rules.BOOKS_QUARANTINE, f"{BOOKS}/silver_quality_enriched"
+    reviews, good = f"{REVIEWS}/silver_quality_enriched", f"{BOOKS}/silver_eligible"
+    silver = {
+        BOOKS: (silver_books, (rules.BOOKS_SILVER, rules.BOOKS_DEFAULTS, rules.BOOKS_QUALITY)),
+        REVIEWS: (silver_reviews, (rules.REVIEWS_SILVER, rules.REVIEWS_DEFAULTS, rules.REVIEWS_QUALITY)),
+    }
+    first = [Layer(f"{d}/bronze_full", (d,), lambda raw: raw, (c,)) for d, c in CONTRACTS.items()]
+    clean = [Layer(f"{d}/silver_quality_enriched", (f"{d}/bronze_full",), build, given) for d, (build, given) in silver.items()]
+    served = [
+        (f"{BOOKS}/gold_books_serving_da", good, "books", rules.BOOKS_ANALYTICS),
+        (f"{REVIEWS}/gold_reviews_serving_da", reviews, "reviews", rules.REVIEWS_ANALYTICS),
+        (f"{REVIEWS}/gold_reviews_serving_ds", reviews, "reviews", rules.REVIEWS_SCIENCE),
+    ]
+    return [
+        *first,
+        *clean,
+        Layer(good, (books,), lambda df: eligible(df, eligible_rules), (eligible_rules,)),
+        Layer(f"{BOOKS}/silver_quarantine", (books,), lambda df: rejects(df, eligible_rules), (eligible_rules,)),
+        *[Layer(name, (of,), lambda df, i=i, spec=spec: serve({i: df}, spec), (spec,)) for name, of, i, spec in served],
+    ]
+
+
+CONTRACTS = {BOOKS: rules.BOOKS_CONTRACT, REVIEWS: rules.REVIEWS_CONTRACT}
+
+
+def resume_flow(
+    spark: SparkSession, assets: Assets, root: str, gate: bool = True, done: Callable[[str], None] = lambda name: None
+) -> Run:
+    """The flow from raw CSV to gold below ``root``, from the first layer on whose inputs or rules have changed.
+
+    With ``gate`` on, a failed critical check raises before anything is released. Read the result with ``released_gold``.
+    """
+
+    def source(dataset: str) -> Source:
+        path = assets.path(dataset, "raw_csv")
+        return Source(path, lambda: read_raw_csv(spark, path, CONTRACTS[dataset]))
+
+    def check(tables: Mapping[str, DataFrame]) -> None:
+        for dataset, suite in ((BOOKS, rules.BOOKS_CHECKS), (REVIEWS, rules.REVIEWS_CHECKS)):
+            enforce(summarize(tables[f"{dataset}/silver_quality_enriched"], suite))
+
+    return run_layers(spark, root, {d: source(d) for d in CONTRACTS}, _layers(), check if gate else lambda tables: None, done)
+
+
+def released_gold(spark: SparkSession, root: str) -> Gold:
+    """Serving tables of the newest release, all of one run."""
+    release = Release(spark, root)
+    return Gold(
+        books=release.read(f"{BOOKS}/gold_books_serving_da"),
+        reviews=release.read(f"{REVIEWS}/gold_reviews_serving_da"),
+        reviews_science=release.read(f"{REVIEWS}/gold_reviews_serving_ds"),
+    )
+
+
 def stored_gold(spark: SparkSession, assets: Assets) -> Gold:
     return Gold(
         books=assets.read(spark, BOOKS, "gold_books_serving_da"),
