@@ -289,6 +289,13 @@ def _corrected(report: str) -> str:
     return report.replace("silver_reviews", scores)
 
 
+REJECTS = f"""SELECT {", ".join(BOOK_TYPES)},
+ CASE WHEN title IS NULL AND title_key IS NULL THEN 'missing_title_and_title_key'
+ WHEN title IS NULL THEN 'missing_title' WHEN title_key IS NULL THEN 'missing_title_key'
+ ELSE 'quarantine_rule_matched' END AS quarantine_reason, 'silver' AS quarantine_stage,
+ 'books_data' AS quarantine_entity
+ FROM silver_books WHERE title IS NULL OR title_key IS NULL OR published_date IS NULL"""
+
 ORACLE_SQL: dict[str, str] = {
     "csv_ingest": "SELECT trim(text, (SELECT string_agg(chr(CAST(i AS INTEGER)), '') FROM range(1, 33) t(i))) AS text,"
     " CAST(doc_id AS VARCHAR) AS doc_id, lang AS language, source FROM documents",
@@ -331,7 +338,8 @@ UNION ALL SELECT CASE kind WHEN 3 THEN q || ',' || doc_id || ',' || lang || ',ex
     "enrich_books": _with(
         f"SELECT {', '.join(BOOK_TYPES)} FROM silver_books"    ),
     "enrich_reviews": _with(
-        f"SELECT {', '.join(REVIEW_TYPES)} FROM silver_reviews"    ),
+        f"SELECT {', '.join(REVIEW_TYPES)} FROM silver_reviews"
+    ),
     "hash_key": _with(
         """SELECT title_key, title_key IS NOT NULL AS has_hash, count(DISTINCT title_key) AS hashes, count(*) AS books
  FROM std_books GROUP BY title_key"""
@@ -350,14 +358,7 @@ SELECT l.*, no AS order_no FROM lineitem l JOIN (SELECT * FROM first UNION ALL S
     "quarantine_eligible": _with(
         f"""SELECT {BOOK_COLUMNS}, {", ".join(f"has_{c}" for c in BOOK_FLAGS)}, completeness_score FROM good_books"""
     ),
-    "quarantine_rejects": _with(
-        f"""SELECT {", ".join(BOOK_TYPES)},
- CASE WHEN title IS NULL AND title_key IS NULL THEN 'missing_title_and_title_key'
- WHEN title IS NULL THEN 'missing_title' WHEN title_key IS NULL THEN 'missing_title_key'
- ELSE 'quarantine_rule_matched' END AS quarantine_reason, 'silver' AS quarantine_stage,
- 'books_data' AS quarantine_entity
- FROM silver_books WHERE title IS NULL OR title_key IS NULL OR published_date IS NULL"""
-    ),
+    "quarantine_rejects": _with(REJECTS),
     "dq_summary_completeness": _with(_union(*_monitor(B, SB, *BOOK_MONITORS), *_monitor(R, SR, *REVIEW_MONITORS))),
     "dq_summary_validity": _with(
         _union(_date_past("validity"), _count_positive("validity"), *_review_validity("validity"))
@@ -485,6 +486,9 @@ SELECT l.*, no AS order_no FROM lineitem l JOIN (SELECT * FROM first UNION ALL S
  ORDER BY l_shipdate, l_partkey, l_suppkey, l_quantity) AS place FROM lineitem) WHERE place = 1""",
     "serve_dedupe_text": """SELECT doc_id, text, lang, source FROM (
  SELECT *, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS place FROM documents) WHERE place = 1""",
+    "stream_silver_reviews": _with(f"SELECT {', '.join(REVIEW_TYPES)} FROM silver_reviews"),
+    "stream_quarantine": _with(REJECTS),
+    "stream_duplicate_key": "SELECT * FROM part QUALIFY count(*) OVER (PARTITION BY p_name) > 1",
     "view_book_performance": _with(PERFORMANCE),
     "view_category_summary": _with(CATEGORIES),
     "view_review_daily": _with(DAILY),
@@ -492,4 +496,5 @@ SELECT l.*, no AS order_no FROM lineitem l JOIN (SELECT * FROM first UNION ALL S
     "view_category_summary_batches": _with(_corrected(CATEGORIES)),
     "view_review_daily_batches": _with(_corrected(DAILY)),
     "medallion_end_to_end": _with(PERFORMANCE),
+    "medallion_resumed": _with(f"SELECT *, 3 AS layers_kept, 6 AS layers_built FROM ({PERFORMANCE})"),
 }

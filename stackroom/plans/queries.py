@@ -28,6 +28,7 @@ from stackroom.sources.raw_csv import CSV_DEFAULTS, CsvContract, read_in_ranges,
 from stackroom.sources.tables import Assets, read_table, write_failed_rows, write_summary, write_table
 from stackroom.sources.versions import Versions
 from stackroom.sources.workspace import SHARED_FOLDER, new_folder
+from stackroom.streaming.tables import arrive, repeated_key_rows
 
 # A check that no book fails.
 PRICED = checks.Check(name="score_not_negative", type="non_negative", severity="critical", column="completeness_score")
@@ -631,6 +632,46 @@ def serve_dedupe_text(spark, folder):
     return serve({"documents": table(spark, folder, "documents")}, spec)
 
 
+# --- streams ----------------------------------------------------------------------------------
+
+
+def _in_drops(spark, folder, label, df, parts, build):
+    """``df`` arrives in files dropped three times, each taken by a run of its own with one checkpoint; what was written."""
+    root = new_folder(spark, label)
+    for part in parts:
+        df.filter(part).write.mode("append").parquet(f"{root}/arriving")
+        arrive(spark, f"{root}/arriving", df.schema, build, f"{root}/table", f"{root}/checkpoint", files_at_once=2)
+    return read_table(spark, f"{root}/table")
+
+
+@query
+def stream_silver_reviews(spark, folder):
+    """Raw reviews in three drops, standardized, filled and enriched as they come."""
+    parts = ("review_line < 3", "review_line IN (3, 4)", "review_line > 4")
+    return _in_drops(spark, folder, "stream_reviews", raw_reviews(spark, folder), parts, flow.silver_reviews).drop("title_hash")
+
+
+@query
+def stream_quarantine(spark, folder):
+    """Raw books in three drops: those held back, with their reasons."""
+
+    spec = replace(rules.BOOKS_QUARANTINE, required=("title", "title_key", "published_date"))
+
+    def held_back(raw):
+        return rejects(flow.silver_books(raw), spec)
+
+    parts = ("ratings_count_raw IS NULL", "ratings_count_raw = 'n/a'", "ratings_count_raw <> 'n/a'")
+    return _in_drops(spark, folder, "stream_books", raw_books(spark, folder), parts, held_back).drop("title_hash")
+
+
+@query
+def stream_duplicate_key(spark, folder):
+    """Parts in three drops: those whose name came before or comes again."""
+    name = replace(LINE_KEY.key_checks[0], key_columns=("p_name",))
+    parts = ("p_size < 15", "p_size BETWEEN 15 AND 30", "p_size > 30")
+    return _in_drops(spark, folder, "stream_keys", table(spark, folder, "part"), parts, lambda stream: repeated_key_rows(stream, name))
+
+
 # --- reports ----------------------------------------------------------------------------------
 
 
@@ -688,10 +729,8 @@ def view_review_daily_batches(spark, folder):
     return _in_batches(spark, folder)[1].review_daily()
 
 
-@query
-def medallion_end_to_end(spark, folder):
-    """Raw CSV through every layer on files, checks reported, then the performance report."""
-    root = new_folder(spark, "flow")
+def _raw_files(spark, folder, root):
+    """Books and reviews as raw CSV files."""
     assets = flow.assets_under(root)
     for dataset, contract, raw in (
         (rules.BOOKS, rules.BOOKS_CONTRACT, raw_books(spark, folder)),
@@ -699,5 +738,36 @@ def medallion_end_to_end(spark, folder):
     ):
         named = raw.select(*[F.col(target).alias(source) for source, target in contract.columns])
         assets.write(named, dataset, "raw_csv", fmt="csv", escape=CSV_DEFAULTS["escape"])
+    return assets
+
+
+@query
+def medallion_end_to_end(spark, folder):
+    """Raw CSV through every layer on files, checks reported, then the performance report."""
+    root = new_folder(spark, "flow")
+    assets = _raw_files(spark, folder, root)
     flow.run_flow(spark, assets, f"{root}/reports", gate=False)
     return flow.stored_gold(spark, assets).book_performance().drop("title_hash")
+
+
+class _Stopped(Exception):
+    """A run that ended between two layers."""
+
+
+@query
+def medallion_resumed(spark, folder):
+    """The flow stopped after its clean books, and run again: the report, how many layers were kept, and how many built."""
+    root = new_folder(spark, "layers")
+    assets = _raw_files(spark, folder, root)
+
+    def stop(name):
+        if name == f"{rules.BOOKS}/silver_quality_enriched":
+            raise _Stopped
+
+    try:
+        flow.resume_flow(spark, assets, f"{root}/layers", gate=False, done=stop)
+    except _Stopped:
+        pass
+    run = flow.resume_flow(spark, assets, f"{root}/layers", gate=False)
+    report = flow.released_gold(spark, f"{root}/layers").book_performance().drop("title_hash")
+    return report.withColumns({"layers_kept": F.lit(len(run.kept)), "layers_built": F.lit(len(run.built))})
