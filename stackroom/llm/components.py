@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stackroom.operators.joins import join_per_key
 
-from .common import materialize
+from .common import discard, materialize
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -41,7 +41,8 @@ def components(links: DataFrame) -> DataFrame:
     edges = materialize(edges, "links")
     before = _state(edges)
     while True:
-        edges = materialize(_star(_star(edges, True), False), "stars")
+        last, edges = edges, materialize(_star(_star(edges, True), False), "stars")
+        discard(last)
         now = _state(edges)
         if now == before:
             return edges.select(F.col("a").alias("id"), F.col("b").alias("component"))

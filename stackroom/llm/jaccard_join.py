@@ -30,9 +30,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stackroom.functions.columns import field, hashable, row_hash
 from stackroom.operators.joins import join_per_key
 
-from .common import materialize, slices
+from .common import discard, materialize, slices
 from .components import components
 from .shingles import WordHashes, shingle_hashes
 
@@ -100,7 +101,9 @@ def promising(sets: DataFrame, spec: JoinSpec) -> DataFrame:
     found = join_per_key(rows.drop("of"), shared, ["shingle"], "inner").groupBy("doc_id").count()
     needed = F.ceil(F.ceil(F.col("n") * spec.percent / 100) / spec.common)
     counted = sets.select("doc_id", "n").join(found, "doc_id")
-    return counted.where(F.col("count") >= needed).select(F.col("doc_id").alias("set_id"), "n")
+    chosen = materialize(counted.where(F.col("count") >= needed).select(F.col("doc_id").alias("set_id"), "n"), "promising-documents")
+    discard(shared)
+    return chosen
 
 
 def whole_sets(docs: DataFrame, chosen: DataFrame) -> DataFrame:
@@ -131,7 +134,9 @@ def ordered_sets(sets: DataFrame, spec: JoinSpec) -> DataFrame:
     left = grouped.select("set_id", "n", lone, "order").where(F.col("lone") <= missing(F.col("n"), spec))
     prefix = F.slice("order", F.lit(1), missing(F.col("n"), spec) + 1 - F.col("lone"))
     cost = F.aggregate(prefix, F.lit(0).cast("long"), lambda total, x: total + x["df"])
-    return left.select("set_id", "n", "lone", F.col("order.shingle").alias("shared"), cost.alias("cost"))
+    ordered = materialize(left.select("set_id", "n", "lone", F.col("order.shingle").alias("shared"), cost.alias("cost")), "ordered-sets")
+    discard(counts)
+    return ordered
 
 
 def subsets(n: int, shared: int, spec: JoinSpec) -> int:
@@ -195,16 +200,20 @@ def heavy_links(sets: DataFrame, light: DataFrame, boundary: int, spec: JoinSpec
     offered = offered.where(near_size(F.col("n"), F.col("hub.n"), spec)).groupBy("set_id").agg(F.collect_set("hub").alias("hubs"))
     # The likeliest hubs will do here: whatever they do not bring together is compared below.
     offered = offered.select(F.col("set_id").alias("a"), F.explode(F.slice(F.array_sort("hubs"), 1, 2)).alias("hub"))
-    links = verified(materialize(offered.select("a", F.col("hub.set_id").alias("b")), "offered-pairs"), sets, spec)
-    links = materialize(links.unionAll(light), "hub-links")
+    pairs = materialize(offered.select("a", F.col("hub.set_id").alias("b")), "offered-pairs")
+    links = materialize(verified(pairs, sets, spec).unionAll(light), "hub-links")
+    discard(pairs)
 
     classes = components(links)
     own = classes.select(F.col("id").alias("set_id"), "component")
     classed = join_per_key(narrow, own, ["set_id"], "left").withColumn("component", F.coalesce("component", "set_id"))
     classed = materialize(classed, "classed-lists")
+    discard(narrow)
+    discard(classes)
     open_ = classed.groupBy("shingle").agg(F.min("component").alias("c"), F.max("component").alias("d")).where("c < d").select("shingle")
     rest = join_per_key(classed, open_, ["shingle"], "inner")
     rest = materialize(join_per_key(rest, sets.select("set_id", prefix.alias("prefix")), ["set_id"], "inner"), "open-lists")
+    discard(classed)
     a, b = rest.alias("x"), rest.alias("y")
     x, y = (lambda c: F.col(f"x.{c}")), (lambda c: F.col(f"y.{c}"))
     left = lambda v: v("n") - v("lone") - v("at")  # noqa: E731  shingles of the set from this one on
@@ -219,7 +228,10 @@ def heavy_links(sets: DataFrame, light: DataFrame, boundary: int, spec: JoinSpec
         & (F.get(F.array_intersect(x("prefix"), y("prefix")), F.lit(0)) == x("shingle"))
     )
     pairs = materialize(a.join(b, meet).select(x("set_id").alias("a"), y("set_id").alias("b")), "open-pairs")
-    return links.unionAll(verified(pairs, sets, spec))
+    discard(rest)
+    found = materialize(verified(pairs, sets, spec), "open-links")
+    discard(pairs)
+    return links.unionAll(found)
 
 
 def link_classes(docs: DataFrame, spec: JoinSpec = JoinSpec()) -> DataFrame:
@@ -231,22 +243,37 @@ def link_classes(docs: DataFrame, spec: JoinSpec = JoinSpec()) -> DataFrame:
     prefixes = materialize(set_prefixes(docs, spec), "set-prefixes")
     one = prefixes.where("n > 0 and doc_id is not null").groupBy("signature").agg(F.min("doc_id").alias("set_id"))
     one = materialize(one, "distinct-sets")
-    chosen = promising(prefixes.where("n > 0 and doc_id is not null"), spec)
-    chosen = materialize(chosen.join(one.select("set_id"), "set_id", "left_semi"), "promising-sets")
+    many = promising(prefixes.where("n > 0 and doc_id is not null"), spec)
+    chosen = materialize(many.join(one.select("set_id"), "set_id", "left_semi"), "promising-sets")
+    discard(many)
+    # The shingles of prefixes have done their work; what else is asked of a document is a few bytes.
+    named = materialize(prefixes.drop("prefix"), "set-names")
+    discard(prefixes)
     whole = materialize(whole_sets(docs, chosen), "whole-sets")
-    sets = materialize(ordered_sets(whole, spec), "ordered-sets")
+    discard(chosen)
+    sets = ordered_sets(whole, spec)
+    discard(whole)
     boundary = choose_boundary(sets, spec)
     light = light_links(sets, boundary, spec)
-    classes = components(heavy_links(sets, light, boundary, spec))
-    named = one.join(classes.withColumnRenamed("id", "set_id"), "set_id", "left")
-    named = named.select("signature", F.coalesce("component", "set_id").alias("component"))
-    rows = join_per_key(prefixes.select("doc_id", "n", "signature"), named, ["signature"], "left")
+    links = heavy_links(sets, light, boundary, spec)
+    classes = components(links)
+    discard(sets)
+    discard(links)
+    heads = one.join(classes.withColumnRenamed("id", "set_id"), "set_id", "left")
+    heads = heads.select("signature", F.coalesce("component", "set_id").alias("component"))
+    rows = join_per_key(named, heads, ["signature"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return rows.select("doc_id", F.col("n").cast("long").alias("n_shingles"), component.alias("component_id"))
 
 
 def keep_one(docs: DataFrame, spec: JoinSpec = JoinSpec()) -> DataFrame:
     """The rows of ``docs`` with the least id of their class, one for each id; rows without an id stay."""
-    heads = link_classes(docs, spec).where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(heads.withColumnRenamed("doc_id", "__head"), F.col("doc_id") == F.col("__head"), "left_semi")
-    return kept.dropDuplicates(["doc_id"]).unionByName(docs.where(F.col("doc_id").isNull()))
+    heads = link_classes(docs, spec).where("doc_id = component_id").select(F.col("doc_id").alias("head")).distinct()
+    kept = docs.alias("d").join(heads.alias("h"), F.col("d.doc_id") == F.col("h.head"), "left_semi")
+    # Of rows with one id that with the least hash of its other columns stays.
+    others = [c for c in hashable(docs) if c != "doc_id"]
+    if not others:
+        return kept.dropDuplicates(["doc_id"]).unionByName(docs.where(F.col("doc_id").isNull()))
+    row = F.struct(*[field(c) for c in docs.columns])
+    kept = kept.groupBy("doc_id").agg(F.min_by(row, row_hash(others)).alias("row")).select("row.*")
+    return kept.unionByName(docs.where(F.col("doc_id").isNull()))
