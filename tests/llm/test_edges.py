@@ -389,3 +389,82 @@ def test_long_words_stay_out_of_the_table_of_common_words(spark, monkeypatch):
     for row in byte_bpe.encode_documents(spark.createDataFrame(rows, SCHEMA), spec).collect():
         assert row.ids == ",".join(map(str, encoding.encode_ordinary(rows[0][1])))
     assert "ab" in held[0] and max(len(w.encode()) for w in held[0]) <= 64
+
+
+CLASHES = ("__head", "head", "__id", "__hash", "found", "docs", "__spans", "__check", "__blob", "blob", "text_hash", "h", "d", "row")
+
+
+def test_pipeline_operators_keep_columns_of_any_name(spark):
+    """Helper columns never meet those of the table, with or without ``n_chars``; of rows with one id the same one stays each time."""
+    rows = [(1, COPY), (1, COPY + " x"), (2, COPY), (3, "password = hunter22x"), (None, "token: abcdefgh"), (4, None)]
+    plain_ = spark.createDataFrame(rows, "doc_id long, text string")
+    docs = plain_.withColumns({name: F.lit(name) for name in CLASHES})
+    items = spark.createDataFrame([("i", COPY)], "item_id string, text string")
+    for df in (docs, docs.withColumn("n_chars", F.length("text"))):
+        one = jaccard_join.keep_one(df)
+        assert one.columns == df.columns and one.count() == 4
+        assert sorted(map(str, one.collect())) == sorted(map(str, jaccard_join.keep_one(df.repartition(7)).collect()))
+        clean = decontaminate.keep_clean(df, items)
+        assert clean.columns == df.columns and {r.doc_id for r in clean.collect()} == {3, None, 4}
+        hidden = secret_scan.redact_documents(df, shared_folder(spark, "clash"))
+        assert hidden.columns == df.columns and hidden.count() == len(rows)
+        assert not any("hunter22x" in (r.text or "") or "abcdefgh" in (r.text or "") for r in hidden.collect())
+
+
+def test_ledger_scans_a_content_once(spark, docs):
+    """Two deliveries and another version of the rules through one ledger: only what is new to it is scanned."""
+    ledger = shared_folder(spark, "deliveries")
+    counted = lambda: {tuple(r) for r in spark.read.parquet(ledger).groupBy("scan", "rules_version").count().collect()}
+    first = docs.where("doc_id < 4")
+    secret_scan.update_ledger(first, ledger)
+    texts = {t or "" for d, t in ROWS if d is not None and d < 4}
+    assert counted() == {(1, secret_scan.RULES_VERSION, len(texts))}
+    secret_scan.update_ledger(docs, ledger)
+    rest = {t or "" for _, t in ROWS} - texts
+    assert counted() == {(1, secret_scan.RULES_VERSION, len(texts)), (2, secret_scan.RULES_VERSION, len(rest))}
+    secret_scan.update_ledger(docs, ledger)
+    secret_scan.update_ledger(docs, ledger, secret_scan.RULES_VERSION + 1)
+    assert (1, secret_scan.RULES_VERSION + 1, len(texts | rest)) in counted()
+    assert sum(n for _, _, n in counted()) == 2 * len(texts | rest)
+
+
+def test_network_against_single_steps():
+    """Scores and gradients of the byte network by loops over windows, for texts below a filter's width and over several chunks."""
+    import numpy as np
+
+    spec = quality_cnn.CnnSpec(filters=3, width=4, embedding=2, chunk=11)
+    model = quality_cnn.ByteCnn(spec)
+    model.bias[:] = [0.1, -0.2, 0.05]
+
+    def slow(text):
+        chunks = quality_cnn.split_chunks(text, spec)
+        best = np.zeros((len(chunks), spec.filters))
+        for c, chunk in enumerate(chunks):
+            for f in range(spec.filters):
+                values = []
+                for start in range(spec.chunk - spec.width + 1):
+                    window = [model.embed[chunk[start + i]][e] for i in range(spec.width) for e in range(spec.embedding)]
+                    values.append(sum(w * k for w, k in zip(window, model.kernel[:, f])) + model.bias[f])
+                best[c, f] = max(0.0, max(values))
+        features = np.concatenate([best.max(0), best.mean(0)])
+        return 1 / (1 + np.exp(-(features @ model.out + model.out_bias[0])))
+
+    texts = [b"", b"ab", b"abcd", b"hello world, this is longer than one chunk of eleven bytes", bytes(range(256))]
+    for text in texts:
+        assert model.score(text) == pytest.approx(slow(text), abs=1e-5)
+    labels = np.array([1, 0, 1, 0, 1], np.float32)
+
+    def loss():
+        scores = [min(max(slow(t), 1e-9), 1 - 1e-9) for t in texts]
+        return -np.mean([y * np.log(p) + (1 - y) * np.log(1 - p) for y, p in zip(labels, scores)])
+
+    for value, slope in zip(model.parameters(), model.gradients(texts, labels)):
+        flat, given = value.reshape(-1), np.asarray(slope).reshape(-1)
+        for i in range(0, len(flat), max(1, len(flat) // 4)):
+            kept = flat[i]
+            flat[i] = kept + 1e-3
+            up = loss()
+            flat[i] = kept - 1e-3
+            down = loss()
+            flat[i] = kept
+            assert (up - down) / 2e-3 == pytest.approx(given[i], abs=2e-3)
