@@ -5,7 +5,7 @@ Trained scores (op2), approximate passages (op6), alignments (op9) and merges by
 
 from __future__ import annotations
 
-from .quality_rules import LADDERS, RiskSpec
+from .quality_rules import LADDERS, PATH, RiskSpec
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 SPACE_WORD = r"[^\x20\x09-\x0D]+"
@@ -21,10 +21,9 @@ RATIOS = {
 
 def _rules() -> str:
     spec = RiskSpec()
-    risk = spec.risk / len(LADDERS)
-    steps = ", ".join(f"('{rule}', {i}, {cutoff})" for rule, ladder in LADDERS.items() for i, cutoff in enumerate(ladder))
-    value = "CASE s.rule " + " ".join(f"WHEN '{r}' THEN {r}" for r in LADDERS) + " END"
-    cutoffs = ", ".join(f"max(cutoff) FILTER (rule = '{r}') AS {r}_cutoff" for r in LADDERS)
+    points = ", ".join(f"('{rule}', {i}, {cutoff})" for i, (rule, cutoff) in enumerate(PATH))
+    value = "CASE p.rule " + " ".join(f"WHEN '{r}' THEN {r}" for r in LADDERS) + " END"
+    cutoffs = ", ".join(f"min(cutoff) FILTER (rule = '{r}') AS {r}_cutoff" for r in LADDERS)
     over = " OR ".join(f"coalesce({r} > {r}_cutoff, FALSE)" for r in LADDERS)
     return f"""
 WITH cut AS (SELECT doc_id, lang, text, regexp_extract_all(coalesce(text, ''), '{SPACE_WORD}') AS w,
@@ -38,16 +37,16 @@ counts AS (SELECT doc_id, lang, len(w) AS n_words, CAST(coalesce(list_sum(list_t
   FROM cut LEFT JOIN repeated USING (doc_id)),
 judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
   {", ".join(f"{v} AS {r}" for r, v in RATIOS.items())} FROM counts),
-steps(rule, step, cutoff) AS (VALUES {steps}),
-tested AS (SELECT lang, s.rule, step, any_value(cutoff) AS cutoff, count(*) AS n, count(*) FILTER ({value} > cutoff) AS k
-  FROM judged JOIN (SELECT DISTINCT doc_id FROM labels WHERE quality = 1) USING (doc_id), steps s WHERE NOT base_failed
-  GROUP BY lang, s.rule, step),
+points(rule, point, cutoff) AS (VALUES {points}),
+good AS (SELECT * FROM judged JOIN (SELECT DISTINCT doc_id FROM labels WHERE quality = 1) USING (doc_id) WHERE NOT base_failed),
+firsts AS (SELECT g.doc_id, any_value(lang) AS lang, coalesce(min(CASE WHEN {value} > cutoff THEN point END), {len(PATH)}) AS first
+  FROM good g, points p GROUP BY g.doc_id),
+tested AS (SELECT lang, point, count(*) AS n, count(*) FILTER (first <= point) AS k FROM firsts, points GROUP BY lang, point),
 proven AS (SELECT *, list_sum(list_transform(range(0, k + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1)
-  - CASE WHEN i = n THEN 0 ELSE lgamma(n - i + 1) END + i * ln({risk}) + (n - i) * ln(1 - {risk}))))
-  <= {spec.error} / ({len(LADDERS)} * (SELECT count(*) FROM (SELECT DISTINCT lang FROM tested))) AS ok FROM tested),
-chosen AS (SELECT lang, rule, min(cutoff) AS cutoff FROM (SELECT *, min(CASE WHEN NOT ok THEN step END)
-  OVER (PARTITION BY lang, rule) AS broken FROM proven) WHERE step < coalesce(broken, 1000) GROUP BY lang, rule),
-cutoffs AS (SELECT lang, {cutoffs} FROM chosen GROUP BY lang)
+  - CASE WHEN i = n THEN 0 ELSE lgamma(n - i + 1) END + i * ln({spec.risk}) + (n - i) * ln(1 - {spec.risk}))))
+  <= {spec.error} / (SELECT greatest(count(*), 1) FROM (SELECT DISTINCT lang FROM tested WHERE n >= {spec.fewest()})) AS ok FROM tested),
+reached AS (SELECT lang, coalesce(min(point) FILTER (NOT ok), {len(PATH)}) AS broken FROM proven GROUP BY lang),
+cutoffs AS (SELECT lang, {cutoffs} FROM reached r LEFT JOIN points p ON p.point < broken GROUP BY lang)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT ({over}) AS kept,
   {", ".join(LADDERS)}, {", ".join(f"{r}_cutoff" for r in LADDERS)}
 FROM judged j LEFT JOIN cutoffs c ON j.lang IS NOT DISTINCT FROM c.lang"""

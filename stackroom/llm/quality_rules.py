@@ -1,12 +1,12 @@
 """Quality rules whose cutoffs are chosen on labelled holdouts, with a bound on falsely rejected documents.
 
-A rule rejects a document whose ratio lies above the rule's cutoff. For each stratum (language) and rule the cutoffs
-of a fixed ladder are tried from the most lenient one on. A cutoff is proven if the exact binomial test rejects "more
-than ``risk`` of the good documents would be rejected" on the good labelled documents of the stratum; the ladder is
-left at the first cutoff that is not proven (a fixed sequence of tests needs no correction of its own), and the
-strictest proven one is used. Strata and rules are tested side by side, so the confidence is divided by their number.
-``risk`` is a stratum's share for all rules together; each rule gets an equal part. A stratum without enough labels
-has no cutoffs: all its documents pass.
+A rule rejects a document whose ratio lies above the rule's cutoff. For each stratum (language) the cutoffs of all rules
+are tightened along one fixed path, a step of one rule at a time, from the most lenient on. A point of the path is
+proven if the exact binomial test rejects "more than ``risk`` of the good documents would be rejected by any of the
+rules" on the good labelled documents of the stratum; the path is left at the first point that is not proven (a fixed
+sequence of tests needs no correction of its own), and the last proven point gives the cutoffs. The whole ``risk`` is
+there for all rules together. Strata are tested side by side, so the error is divided by their number; those with fewer
+labels than a test without any false rejection needs are not tested, have no cutoffs, and all their documents pass.
 """
 
 from __future__ import annotations
@@ -27,12 +27,20 @@ WHITE_SPACE = b" \t\n\x0b\x0c\r"
 
 #: Cutoffs of each rule, lenient to strict; a document is rejected above the cutoff.
 LADDERS: dict[str, tuple[float, ...]] = {
-    "symbol_ratio": (8.0, 4.0, 2.0, 1.0, 0.5, 0.4, 0.3, 0.2, 0.15, 0.1, 0.05, 0.02),
-    "duplicate_line_ratio": (0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.2, 0.1),
-    "repeat_word_ratio": (0.5, 0.45, 0.4, 0.35, 0.3, 0.25, 0.2, 0.15, 0.1),
-    "mean_word_length": (40.0, 30.0, 25.0, 20.0, 17.0, 15.0, 13.0, 12.0, 11.0, 10.0),
+    "symbol_ratio": (8.0, 4.0, 2.0, 1.0, 0.5, 0.4, 0.3, 0.2, 0.15, 0.1, 0.05, 0.02, 0.01, 0.005),
+    "duplicate_line_ratio": (0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.2, 0.15, 0.1, 0.05, 0.02),
+    "repeat_word_ratio": (0.5, 0.45, 0.4, 0.35, 0.3, 0.25, 0.2, 0.15, 0.1, 0.05, 0.02),
+    "mean_word_length": (40.0, 30.0, 25.0, 20.0, 17.0, 15.0, 13.0, 12.0, 11.0, 10.0, 9.0, 8.0, 7.0, 6.0),
 }
 
+#: (rule, cutoff) in the order in which cutoffs are tightened: every rule's first step, every rule's second, and so on.
+PATH = [
+    (rule, LADDERS[rule][step])
+    for step in range(max(map(len, LADDERS.values())))
+    for rule in LADDERS
+    if step < len(LADDERS[rule])
+]
+
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 
 
@@ -43,6 +51,10 @@ class RiskSpec:
     risk: float = 0.02
     error: float = 0.05
 
+    def fewest(self) -> int:
+        """Good labels below which no test can prove anything."""
+        return math.ceil(math.log(self.error) / math.log1p(-self.risk))
+
 
 def repeated_words(words: list[bytes]) -> int:
     """Words that lie in a window of three words found twice or more."""
@@ -123,7 +135,7 @@ def binomial_tail(k: int, n: int, p: float) -> float:
 
 
 def ladder_counts(counts: DataFrame, labels: DataFrame) -> DataFrame:
-    """For each stratum, rule and step of the ladder: good labelled documents, and how many of them it would reject.
+    """For each stratum and point of the path: good labelled documents, and how many of them the rules would reject there.
 
     Documents that the base rules reject anyway do not count. One aggregation with partial sums; a row per stratum
     leaves it.
@@ -131,34 +143,30 @@ def ladder_counts(counts: DataFrame, labels: DataFrame) -> DataFrame:
     good = labels.where(F.col("quality") == 1).select(F.col("doc_id").cast("long")).distinct()
     held = counts.where(~base_failed()).join(good, "doc_id", "left_semi")
     values = ratios()
-    above = [
-        F.sum((values[rule] > cutoff).cast("long")).alias(f"{rule}_{step}")
-        for rule, ladder in LADDERS.items()
-        for step, cutoff in enumerate(ladder)
-    ]
-    steps = [
-        F.struct(F.lit(rule).alias("rule"), F.lit(step).alias("step"), F.lit(cutoff).alias("cutoff"), F.col(f"{rule}_{step}").alias("rejected"))
-        for rule, ladder in LADDERS.items()
-        for step, cutoff in enumerate(ladder)
-    ]
-    return held.groupBy("stratum").agg(F.count("*").alias("n"), *above).select("stratum", "n", F.inline(F.array(*steps)))
+    # The first point of the path that rejects a document; all later ones reject it too.
+    first = F.least(*(F.when(values[rule] > cutoff, point).otherwise(len(PATH)) for point, (rule, cutoff) in enumerate(PATH)))
+    met = held.withColumn("first", first)
+    above = [F.sum((F.col("first") <= point).cast("long")).alias(f"to_{point}") for point in range(len(PATH))]
+    points = [F.struct(F.lit(point).alias("point"), F.col(f"to_{point}").alias("rejected")) for point in range(len(PATH))]
+    return met.groupBy("stratum").agg(F.count("*").alias("n"), *above).select("stratum", "n", F.inline(F.array(*points)))
 
 
 def choose_cutoffs(ladders: DataFrame, strata: int, spec: RiskSpec) -> DataFrame:
-    """stratum and the strictest proven cutoff of each rule (null: none)."""
-    risk, error = spec.risk / len(LADDERS), spec.error / (len(LADDERS) * max(strata, 1))
+    """stratum and the cutoff of each rule at the last proven point (null: none)."""
+    error = spec.error / max(strata, 1)
 
     @F.pandas_udf("boolean")
     def proven(n: pd.Series, rejected: pd.Series) -> pd.Series:
-        return pd.Series([binomial_tail(int(k), int(m), risk) <= error for m, k in zip(n, rejected)], dtype=bool)
+        return pd.Series([binomial_tail(int(k), int(m), spec.risk) <= error for m, k in zip(n, rejected)], dtype=bool)
 
     tested = ladders.withColumn("proven", proven("n", "rejected"))
-    broken = F.min(F.when(~F.col("proven"), F.col("step"))).alias("broken")
-    first = tested.groupBy("stratum", "rule").agg(broken, F.array_sort(F.collect_list(F.struct("step", "cutoff"))).alias("steps"))
-    last = F.coalesce(F.col("broken"), F.size("steps"))
-    cutoff = F.when(last > 0, F.element_at("steps", last)["cutoff"])
-    chosen = first.select("stratum", "rule", cutoff.alias("cutoff"))
-    return chosen.groupBy("stratum").agg(*(F.max(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"{r}_cutoff") for r in LADDERS))
+    broken = tested.groupBy("stratum").agg(F.coalesce(F.min(F.when(~F.col("proven"), F.col("point"))), F.lit(len(PATH))).alias("broken"))
+    # Cutoffs fall along the path, so the least before the broken point is the one that stands.
+    reached = {
+        rule: F.least(*(F.when(F.col("broken") > point, cutoff) for point, (r, cutoff) in enumerate(PATH) if r == rule), F.lit(None).cast("double"))
+        for rule in LADDERS
+    }
+    return broken.select("stratum", *(value.alias(f"{rule}_cutoff") for rule, value in reached.items()))
 
 
 def judge(docs: DataFrame, labels: DataFrame, spec: RiskSpec = RiskSpec(), stratum: str = "lang") -> DataFrame:
@@ -170,7 +178,7 @@ def judge(docs: DataFrame, labels: DataFrame, spec: RiskSpec = RiskSpec(), strat
     counts = materialize(text_counts(docs, stratum), "quality-counts")
     ladders = ladder_counts(counts, labels)
     ladders = materialize(ladders, "quality-ladders")
-    strata = ladders.select("stratum").distinct().count()
+    strata = ladders.where(F.col("n") >= spec.fewest()).select("stratum").distinct().count()
     cutoffs = choose_cutoffs(ladders, strata, spec).withColumnRenamed("stratum", "of")
     values = ratios()
     over = F.lit(False)

@@ -28,6 +28,49 @@ def test_risk_rules(spark, docs):
     assert not any(kept and failed for failed, kept in rows(spark, "op1_risk_rules", ("base_failed", "kept")))
 
 
+def exact_tail(k, n, p):
+    from math import comb
+
+    return sum(comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k + 1))
+
+
+def test_risk_rules_learn_on_every_language(spark):
+    """On the largest table: cutoffs and verdicts by a plain walk along the path, and what the rules do to labels they did not see."""
+    from stackroom.llm import quality_rules as rules
+
+    spec, folder = rules.RiskSpec(), "/root/testdata/sf0.1"
+    langs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang")
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "quality")
+    found = QUERIES["op1_risk_rules"](spark, folder).join(langs, "doc_id").join(labels, "doc_id", "left").collect()
+    good = {}
+    for r in found:
+        if r.quality == 1 and not r.base_failed:
+            good.setdefault(r.lang, []).append(r)
+    tested = [lang for lang, rows_ in good.items() if len(rows_) >= spec.fewest()]
+    assert len(tested) == 4
+    for lang in tested:
+        cutoffs = dict.fromkeys(rules.LADDERS)
+        for rule, cutoff in rules.PATH:
+            tried = {**cutoffs, rule: cutoff}
+            k = sum(any(c is not None and r[x] > c for x, c in tried.items()) for r in good[lang])
+            if exact_tail(k, len(good[lang]), spec.risk) > spec.error / len(tested):
+                break
+            cutoffs = tried
+        assert any(c is not None for c in cutoffs.values())
+        for r in found:
+            if r.lang == lang:
+                assert all(r[f"{x}_cutoff"] == c for x, c in cutoffs.items())
+                over = any(c is not None and r[x] > c for x, c in cutoffs.items())
+                assert r.kept == (not r.base_failed and not over)
+
+    # Cutoffs from one half of the labels, false rejections counted on the other.
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    half = labels.where("crc32(cast(doc_id AS string)) % 2 = 0")
+    judged = rules.judge(docs, half).join(labels.join(half, "doc_id", "left_anti"), "doc_id").where("quality = 1 AND NOT base_failed")
+    for r in judged.groupBy("stratum").agg(F.count("*").alias("n"), F.count_if(~F.col("kept")).alias("lost")).collect():
+        assert r.lost <= 0.04 * r.n, "twice the risk, for halves of some hundred labels"
+
+
 def test_byte_cnn(spark):
     """On the larger table, whose labels suffice: documents held out from training are ranked and kept well."""
     found = QUERIES["op2_byte_cnn"](spark, tables_dir()).join(spark.read.parquet(f"{tables_dir()}/labels.parquet"), "doc_id")
