@@ -4,12 +4,13 @@ Bytes are embedded; learned filters slide over chunks that overlap by a filter's
 of the document lies in exactly one chunk; each filter keeps its maximum in each chunk. The greatest and the mean of
 these maxima over all chunks go into one logistic unit. Only the bytes of the text are an input.
 
-The network is small (a few kilobytes) and is fitted on the driver, on a sample of labelled rows with a fixed bound
+The network is small (a few kilobytes) and is fitted in one task, on a sample of labelled rows with a fixed bound
 (``CnnSpec.train_rows`` texts of at most ``train_bytes`` bytes each). Scoring covers every byte of every document.
 """
 
 from __future__ import annotations
 
+import pickle
 from dataclasses import dataclass
 
 import numpy as np
@@ -146,15 +147,14 @@ def remainder(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("long").cast("string")) % 5
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, spec: CnnSpec) -> tuple[list[bytes], list[int]]:
-    """At most ``train_rows`` labelled texts, chosen by a hash of the id; the list of ids is as bounded and so broadcast."""
+def training_sample(docs: DataFrame, labels: DataFrame, spec: CnnSpec) -> DataFrame:
+    """(text, quality) of at most ``train_rows`` labelled texts, chosen by a hash of the id; the list of ids is as bounded and so broadcast."""
     ids = labels.where(F.col("quality").isNotNull() & (remainder(F.col("doc_id")) != 0))
     ids = ids.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").alias("quality"))
     ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(spec.train_rows)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
     rows = texts.where(F.length("text") <= spec.train_bytes).join(F.broadcast(ids), "doc_id")
-    rows = rows.orderBy(F.xxhash64("doc_id"), F.xxhash64("text")).limit(spec.train_rows).collect()
-    return [bytes(r["text"]) for r in rows], [int(r["quality"]) for r in rows]
+    return rows.orderBy(F.xxhash64("doc_id"), F.xxhash64("text")).limit(spec.train_rows).select("text", F.col("quality").cast("int").alias("quality"))
 
 
 def score_rows(docs: DataFrame, model: ByteCnn) -> DataFrame:
@@ -170,7 +170,19 @@ def score_rows(docs: DataFrame, model: ByteCnn) -> DataFrame:
 
 
 def fitted(docs: DataFrame, labels: DataFrame, spec: CnnSpec = CnnSpec()) -> ByteCnn:
-    return fit(*training_sample(docs, labels, spec), spec)
+    """Fits in one task, whose size the sample bounds; the driver gets the weights alone."""
+
+    def run(batches):
+        rows = [(t, q) for batch in batches for t, q in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+        model = fit([t for t, _ in rows], [q for _, q in rows], spec)
+        yield pa.record_batch([pa.array([pickle.dumps(model.parameters())], pa.binary())], names=["weights"])
+
+    found = training_sample(docs, labels, spec).coalesce(1).mapInArrow(run, "weights binary").first()
+    model = ByteCnn(spec)
+    if found:
+        for mine, weights in zip(model.parameters(), pickle.loads(found.weights)):
+            mine[...] = weights
+    return model
 
 
 def classify(docs: DataFrame, labels: DataFrame, spec: CnnSpec = CnnSpec(), threshold: float = 0.3) -> DataFrame:
