@@ -164,12 +164,17 @@ def encode_words(words: DataFrame, maps: RankMap) -> DataFrame:
     def long_ids(raw: pd.Series) -> pd.Series:
         return raw.map(lambda w: merge_long(bytes(w), ranks))
 
+    def coded(m: Merges, tokens: Column) -> Column:
+        return let(tokens, lambda ids: F.struct(joined_ids(ids).alias("ids"), m.decode(ids).cast("string").alias("decoded")))
+
     raw = F.encode("word", "UTF-8")
     is_long = F.length(raw) > spec.long_word
-    plain = words.where(~is_long).select("word", maps.use(lambda m: let(latin_bytes(F.col("word")), m.encode)).alias("tokens"))
-    long = words.where(is_long).select("word", long_ids(raw).alias("tokens"))
-    both = plain.unionByName(long)
-    return both.select("word", joined_ids(F.col("tokens")).alias("ids"), maps.use(lambda m: m.decode(F.col("tokens")).cast("string")).alias("decoded"))
+    # One expression has the literal; words of both kinds go through it.
+    rows = words.where(~is_long).select("word", F.lit(None).cast("array<int>").alias("tokens"))
+    rows = rows.unionByName(words.where(is_long).select("word", long_ids(raw).alias("tokens")))
+    folded = F.when(F.col("tokens").isNull(), latin_bytes(F.col("word")))
+    found = maps.use(lambda m: coded(m, F.when(F.col("tokens").isNotNull(), F.col("tokens")).otherwise(let(folded, m.encode))))
+    return rows.select("word", F.inline(F.array(found)))
 
 
 def word_table(words: DataFrame) -> bytes:
