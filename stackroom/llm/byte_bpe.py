@@ -207,8 +207,8 @@ def split_known(rows: DataFrame, table: bytes, maps: RankMap) -> DataFrame:
         ids = merge_long(raw, ranks)
         return ",".join(map(str, ids)), b"".join(texts[i] for i in ids).decode("utf-8", "replace")
 
-    def split(words, known):
-        found = list(map(known.get, words))
+    def split(words, known, odd):
+        found = [ids and (ids, odd.get(w, w)) for w, ids in zip(words, map(known.get, words))]
         gaps = [i for i, hit in enumerate(found) if hit is None]
         for i in gaps:
             if len(words[i]) > long_word // 4:
@@ -222,11 +222,14 @@ def split_known(rows: DataFrame, table: bytes, maps: RankMap) -> DataFrame:
         return count, ids, ["".join([hit[1] for hit in run]) for run in runs], which, list(rare)
 
     def run(batches):
-        found = pa.ipc.open_stream(shared.value).read_all().to_pydict()
-        known = dict(zip(found["word"], zip(found["ids"], found["decoded"])))
-        del found
+        # Ids by word, and the few texts that differ from their word once decoded: every worker holds this.
+        known, odd = {}, {}
+        for part in slices(pa.ipc.open_stream(shared.value), 4096):
+            word, ids, decoded = (part.column(c).to_pylist() for c in ("word", "ids", "decoded"))
+            known.update(zip(word, ids))
+            odd.update((w, d) for w, d in zip(word, decoded) if w != d)
         for batch in slices(batches, 64):
-            out = [split(words, known) for words in batch.column(1).to_pylist()]
+            out = [split(words, known, odd) for words in batch.column(1).to_pylist()]
             columns = list(zip(*out)) if out else [[] for _ in schema]
             pieces = [pa.array(c, f.type) for c, f in zip(columns, schema)]
             yield pa.record_batch([batch.column(0), *pieces], names=["row", *schema.names])
