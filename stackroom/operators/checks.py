@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from stackroom.functions.columns import all_of, any_of, field, free_name, hashable, row_hash
+from stackroom.functions.columns import all_of, field, free_name, hashable, row_hash
 from stackroom.functions.scoring import percent
 from stackroom.operators.derive import known_options, require_columns
 from stackroom.operators.joins import join_per_key
@@ -222,33 +222,63 @@ def failed_rows(df: DataFrame, suite: CheckSuite, as_of: date | None = None) ->
     if suite.row_checks:
         outcomes = [(c.name, _failure(df, c, as_of)) for c in suite.row_checks]
         failing = F.array_compact(F.array(*[F.when(bad, F.lit(name)) for name, bad in outcomes]))
-        parts.insert(
-            0,
-            df.filter(any_of(bad for _, bad in outcomes)).select(
-                F.explode(failing).alias("check_name"), *[field(n) for n in df.columns]
-            ),
-        )
+        # No filter before it: a row that fails nothing explodes to nothing, and a filter would be pushed down with every
+        # cleaning expression in it once more, into methods too large for the JVM to compile.
+        parts.insert(0, df.select(F.explode(failing).alias("check_name"), *[field(n) for n in df.columns]))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionAll(part)
     return out
 
 
+#: Groups of failing rows per row of a sample whose least keys bound the sample.
+BOUND_GROUPS = 8
+
+
+def _limit_of(suite: CheckSuite) -> Column:
+    limit = F.lit(None).cast("int")
+    for check in suite.checks:
+        limit = F.when(F.col("check_name") == check.name, check.sample_limit).otherwise(limit)
+    return limit
+
+
+def _sample_bounds(keys: DataFrame, suite: CheckSuite) -> DataFrame:
+    """check_name and bound: no failing row above the bound can be in the check's sample.
+
+    ``keys``: check_name, key (the leading order key) and spread (a hash of all order keys) of every failing row. Rows
+    are dealt to a fixed number of groups by hash. The least key of each group belongs to a row of its own, so the
+    k-th least of them has k rows at or below it. A check with fewer than k groups gets no bound.
+    """
+    group = F.pmod("spread", F.greatest(_limit_of(suite), F.lit(1)) * BOUND_GROUPS)
+    least = keys.groupBy("check_name", group.alias("spread")).agg(F.min("key").alias("bound"))
+    place = F.row_number().over(Window.partitionBy("check_name").orderBy("bound", "spread"))
+    return least.select("check_name", "bound", place.alias("place")).where(F.col("place") == _limit_of(suite)).drop("place")
+
+
 def failed_samples(
     df: DataFrame, suite: CheckSuite, order_by: Sequence[str] = (), as_of: date | None = None
 ) -> DataFrame:
-    """Up to ``sample_limit`` failing rows per check: the first by ``order_by``, else by row hash."""
+    """Up to ``sample_limit`` failing rows per check: the first by ``order_by``, else by row hash.
+
+    Two passes. The first reads the columns of checks and order only and leaves a bound for each check, from a number of
+    keys that depends on the limits alone; the second takes whole rows, and only those within the bounds. Rows that tie
+    with a bound come along, so an order of few distinct leading values bounds little; the window then cuts each task's rows.
+    Null keys come first.
+    """
     failing = failed_rows(df, suite, as_of)
     order = [field(n) for n in order_by] or [row_hash(hashable(df))]
-    most = max(c.sample_limit for c in suite.checks)
-    limit_of = F.lit(None).cast("int")
-    for check in suite.checks:
-        limit_of = F.when(F.col("check_name") == check.name, check.sample_limit).otherwise(limit_of)
-
-    # Spark cuts each partition to the window limit before the shuffle, so a check's task sees partitions x limit rows.
+    spread = row_hash(order_by) if order_by else order[0]
+    bounds = _sample_bounds(failing.select("check_name", order[0].alias("key"), spread.alias("spread")), suite)
+
+    name, bound = (free_name(stem, df) for stem in ("bounded_check", "bound"))
+    bounds = bounds.select(F.col("check_name").alias(name), F.col("bound").alias(bound))
+    # A row for each check at most.
+    within = failing.join(F.broadcast(bounds), F.col("check_name") == F.col(name), "left").where(
+        F.col(name).isNull() | order[0].isNull() | (order[0] <= F.col(bound))
+    )
+    numbered = free_name("place", failing)
     place = F.row_number().over(Window.partitionBy("check_name").orderBy(*order))
-    numbered = failing.withColumn("__place", place).filter(F.col("__place") <= most)
-    return numbered.filter(F.col("__place") <= limit_of).drop("__place")
+    return within.drop(name, bound).withColumn(numbered, place).filter(F.col(numbered) <= _limit_of(suite)).drop(numbered)
 
 
 def roll_up(summary: DataFrame) -> DataFrame:

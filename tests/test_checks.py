@@ -4,11 +4,13 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from stackroom.operators.checks import (
     Check,
     CheckSuite,
     QualityGateError,
+    _sample_bounds,
     enforce,
     failed_rows,
     failed_rows_of,
@@ -164,6 +166,42 @@ def test_samples_are_the_first_rows_of_each_check(spark):
     assert sorted(r.check_name for r in unordered) == ["a"] * 5 + ["price"] * 3
 
 
+def test_bounded_samples_equal_a_sort_of_all_failing_rows(spark):
+    """Nulls and NaN in the order, ties at the bound, a limit of 0, fewer failing rows than the limit, clashing names."""
+    rng = random.Random(5)
+    rows = [
+        (i, rng.choice([None, float("nan"), -0.0, 0.0, 1.5, float(rng.randint(-400, 400))]), rng.choice([None, "x"]), -1.0 if i % 900 == 0 else 1.0, i)
+        for i in range(4000)
+    ]
+    df = spark.createDataFrame(rows, "n int, bound double, place string, bounded_check double, spread int").repartition(13)
+    suite = CheckSuite(
+        (
+            Check("place", "not_null", "warning", column="place", sample_limit=40),
+            Check("few", "non_negative", "warning", column="bounded_check", sample_limit=40),
+            Check("none", "not_null", "warning", column="place", sample_limit=0),
+            Check("twice", "duplicate_key", "warning", key_columns=("bound",), sample_limit=7),
+        )
+    )
+    found = failed_samples(df, suite, ["bound", "n"])
+    assert found.columns == ["check_name", *df.columns]
+    for check in suite.checks:
+        want = failed_rows_of(df, check).orderBy("bound", "n").limit(check.sample_limit)
+        assert sorted(r.n for r in found.where(F.col("check_name") == check.name).collect()) == sorted(r.n for r in want.collect())
+    unordered = failed_samples(df, suite)
+    assert {r.check_name: r["count"] for r in unordered.groupBy("check_name").count().collect()} == {"place": 40, "few": 5, "twice": 7}
+    assert failed_samples(df.limit(0), suite, ["bound"]).count() == 0
+
+
+def test_whole_rows_of_samples_travel_only_within_the_bounds(spark):
+    """The row bounds let through are few more than the sample, whatever the number of failing rows."""
+    df = spark.range(200_000).selectExpr("id", "cast(null as string) a", "repeat('w', 50) wide").repartition(7)
+    suite = CheckSuite((Check("a", "not_null", "warning", column="a", sample_limit=20),))
+    failing = failed_rows_of(df, suite.checks[0]).selectExpr("'a' check_name", "id key", "xxhash64(id) spread")
+    [(name, bound)] = _sample_bounds(failing, suite).collect()
+    assert name == "a" and 19 <= bound < 40
+    assert sorted(r.id for r in failed_samples(df, suite, ["id"]).collect()) == list(range(20))
+
+
 def test_gate(df):
     summary = summarize(df, SUITE, TODAY)
     with pytest.raises(QualityGateError, match="allowed, present"):
