@@ -309,6 +309,11 @@ UNION ALL SELECT CASE kind WHEN 3 THEN q || ',' || doc_id || ',' || lang || ',ex
     " o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders",
     "sink_orc_partitioned": "SELECT * FROM lineitem",
     "sink_file_layout": "SELECT l_returnflag, count(*) AS rows, TRUE AS capped, TRUE AS spread FROM lineitem GROUP BY l_returnflag",
+    **{
+        name: """SELECT CASE WHEN l_orderkey % 2 = 0 THEN 'any' ELSE 'line ' || l_linenumber END AS mode, count(*) AS rows, TRUE AS sized
+ FROM lineitem GROUP BY 1"""
+        for name in ("sink_sized_folders", "sink_sized_packed")
+    },
     "sink_report": _with(
         "SELECT *, failed_rows AS stored_rows FROM ("
         + _union(

@@ -25,6 +25,7 @@ from stackroom.plans.jobs import JOBS
 from stackroom.plans.fixtures import raw_books, raw_reviews, table
 from stackroom.sources.csv_ranges import read_records
 from stackroom.sources.raw_csv import CSV_DEFAULTS, CsvContract, read_in_ranges, read_parts, read_raw_csv
+from stackroom.sources.sized import file_sizes, write_sized
 from stackroom.sources.tables import Assets, read_table, write_failed_rows, write_summary, write_table
 from stackroom.sources.versions import Versions
 from stackroom.sources.workspace import SHARED_FOLDER, new_folder
@@ -168,6 +169,35 @@ def sink_file_layout(spark, folder):
     return counted.select("l_returnflag", "rows", (F.col("most") <= ROWS_PER_FILE).alias("capped"), enough.alias("spread"))
 
 
+TARGET_BYTES = 100_000
+
+
+def _sized_lines(spark, folder, folders):
+    """All line items by a skewed column, of which one value holds half, in files of so many bytes."""
+    path = new_folder(spark, "sized")
+    mode = F.when(F.col("l_orderkey") % 2 == 0, "any").otherwise(F.concat(F.lit("line "), "l_linenumber"))
+    lines = table(spark, folder, "lineitem").withColumn("mode", mode)
+    write_sized(lines, path, ["mode"], TARGET_BYTES, folders, sample_rows=4000)
+    return spark.read.parquet(path)
+
+
+@query
+def sink_sized_folders(spark, folder):
+    """Rows by folder, and whether its files are within a quarter of the target; a folder too small for two has one."""
+    files = file_sizes(_sized_lines(spark, folder, folders=True), "mode")
+    near = F.abs(F.col("bytes") / TARGET_BYTES - 1) <= 0.25
+    one = (F.count(F.lit(1)) == 1) & (F.max("bytes") < 1.6 * TARGET_BYTES)
+    return files.groupBy("mode").agg(F.sum("rows").alias("rows"), (F.every(near) | one).alias("sized"))
+
+
+@query
+def sink_sized_packed(spark, folder):
+    """Rows by value, and whether all files that hold it are within a quarter of the target."""
+    lines = _sized_lines(spark, folder, folders=False)
+    near = F.abs(F.col("_metadata.file_size") / TARGET_BYTES - 1) <= 0.25
+    return lines.groupBy("mode").agg(F.count(F.lit(1)).alias("rows"), F.every(near).alias("sized"))
+
+
 @query
 def sink_report(spark, folder):
     """Summary (one CSV file) and failing rows (a folder for each check) stored and read back; one check passes."""
