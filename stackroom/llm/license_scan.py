@@ -10,8 +10,10 @@ Regions are found by the template's words alone: places in the text whose word t
 at most ``gap`` other words. Where the alignment of a region reaches no hit, as when anchors of several copies mix, the
 longest chain of aligned words at most ``gap`` words apart is sought exactly. Words that tell licences apart (versions,
 clause counts, nc, nd, sa, lesser, affero) must all be among the aligned ones, and others of them must not stand between;
-in templates of more than ``short`` words other numbers may. A text that lacks too many of a template's words for the coverage asked for is not
-aligned with it; both steps lose no hit.
+in templates of more than ``short`` words other numbers may. Templates of several clauses, a line each, need
+``clause_coverage`` of each clause, so that a licence with a clause more or less is not taken for its sibling. A text that lacks too many of a template's words for the coverage asked for is not
+aligned with it; both steps lose no hit, but that clauses are judged
+on the patience alignment of the chain found.
 """
 
 from __future__ import annotations
@@ -69,6 +71,35 @@ TEMPLATES: dict[str, str] = {
     "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
 }
 
+#: Whole texts, without the copyright line, numbers of clauses and names; a line for each clause.
+TEXTS: dict[str, str] = {
+    "mit-text": """
+Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+    "isc-text": """
+Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.""",
+    "bsd-2-text": """
+Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
+    "bsd-3-text": """
+Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
+    "zlib-text": """
+This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.
+Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:
+The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required.
+Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
+This notice may not be removed or altered from any source distribution.""",
+}
+TEMPLATES |= TEXTS
+
 WORD = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
 NUMBER = re.compile(r"v?([0-9]+(?:\.[0-9]+)*?)(?:\.0)?")
 KINDS = frozenset(("nc", "nd", "sa", "lesser", "affero", "noncommercial", "noderivatives", "noderivs", "sharealike"))
@@ -77,6 +108,7 @@ KINDS = frozenset(("nc", "nd", "sa", "lesser", "affero", "noncommercial", "noder
 @dataclass(frozen=True)
 class LicenseSpec:
     coverage: float = 0.8
+    clause_coverage: float = 0.5
     gap: int = 12
     small: int = 4096
     short: int = 16
@@ -86,6 +118,19 @@ def words_of(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
+def clauses_of(text: str) -> list[tuple[int, int]]:
+    """First and last word, end exclusive, of each line of a template."""
+    ends = [0]
+    for line in text.split("\n"):
+        ends.append(ends[-1] + len(words_of(line)))
+    return [(a, b) for a, b in zip(ends, ends[1:]) if a < b]
+
+
+def covers(aligned: set[int], clauses: list[tuple[int, int]], spec: LicenseSpec) -> bool:
+    """Whether enough of every clause is among the aligned places of a template."""
+    return all(len(aligned.intersection(range(a, b))) >= spec.clause_coverage * (b - a) for a, b in clauses)
+
+
 def alike(words: list[str]) -> list[str]:
     """The words with version numbers written in one way: v3 and 3.0 are 3."""
     return [m[1] if (m := NUMBER.fullmatch(w)) else w for w in words]
@@ -210,7 +255,12 @@ def longest_chain(words: list[str], a: int, b: int, template: list[str], spec: L
     return top and (top[0] - more * len(must), *top[1:])
 
 
-def find_licenses(text: str | None, templates: dict[str, list[str]], spec: LicenseSpec = LicenseSpec()) -> list[tuple[str, int, int, float]]:
+def find_licenses(
+    text: str | None,
+    templates: dict[str, list[str]],
+    spec: LicenseSpec = LicenseSpec(),
+    clauses: dict[str, list[tuple[int, int]]] | None = None,
+) -> list[tuple[str, int, int, float]]:
     """(name, start, end, coverage) of all hits, in words, end exclusive; a region is tried again after each hit.
 
     Where hits of several templates overlap, the one with most aligned words stands, then the one with most coverage.
@@ -223,7 +273,7 @@ def find_licenses(text: str | None, templates: dict[str, list[str]], spec: Licen
         needed = spec.coverage * len(template)
         if sum(w in present for w in template) < needed or not all(template[j] in present for j in must):
             continue
-        own = set(template)
+        own, parts = set(template), (clauses or {}).get(name, [])
         todo = regions([i for i, w in enumerate(words) if w in own], spec.gap)
         while todo:
             a, b = todo.pop()
@@ -239,9 +289,11 @@ def find_licenses(text: str | None, templates: dict[str, list[str]], spec: Licen
                 if count >= needed
                 and must <= {to[i] for i in range(x, y + 1) if i in to}
                 and not any(tells_apart(words[i], template, spec) for i in range(x, y + 1) if i not in to)
+                and covers({to[i] for i in range(x, y + 1) if i in to}, parts, spec)
             ]
             if not good and (chain := longest_chain(words, a, b, template, spec)):
-                good = [chain]
+                places = align(words[chain[1] : chain[2] + 1], template, spec)
+                good = [chain] if covers({j for _, j in places}, parts, spec) else []
             found += [(count, name, first, last + 1, round(count / len(template), 6)) for count, first, last in good]
             if good:  # what lies before, between and after them
                 ends = [a - 1, *(x for _, first, last in good for x in (first, last)), b + 1]
@@ -259,10 +311,11 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, spec:
     Null and empty texts have no hits; repeated rows are each scanned.
     """
     cut = {name: words_of(text) for name, text in templates.items()}
+    clauses = {name: clauses_of(text) for name, text in templates.items()}
     schema = pa.schema([("doc_id", pa.int64()), ("n_hits", pa.int64()), ("licenses", pa.list_(pa.string())), ("hits", pa.list_(pa.string()))])
 
     def scan(doc_id, text):
-        hits = find_licenses(text, cut, spec)
+        hits = find_licenses(text, cut, spec, clauses)
         return doc_id, len(hits), sorted({h[0] for h in hits}), [":".join(map(str, h)) for h in hits]
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
