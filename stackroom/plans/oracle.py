@@ -85,11 +85,11 @@ FROM std_reviews)"""
 GOOD_BOOKS = "SELECT * FROM silver_books WHERE title IS NOT NULL AND title_key IS NOT NULL"
 
 
-def _with(select: str) -> str:
+def _with(select: str, every_text: bool = False) -> str:
     """Put the stages that a select needs in front of it."""
     stages = (
         ("raw_books", _raw(books_sql())),
-        ("raw_reviews", _raw(reviews_sql())),
+        ("raw_reviews", _raw(reviews_sql(every_text))),
         ("std_books", STD_BOOKS),
         ("std_reviews", STD_REVIEWS),
         ("silver_books", SILVER_BOOKS),
@@ -326,7 +326,7 @@ UNION ALL SELECT CASE kind WHEN 3 THEN q || ',' || doc_id || ',' || lang || ',ex
     "sink_snapshot": "SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name, CAST(s_nationkey AS VARCHAR) AS s_nationkey, CAST(s_acctbal AS VARCHAR) AS s_acctbal"
     " FROM supplier ORDER BY s_name LIMIT 25",
     "standardize_books": _with(f"SELECT book_no, {BOOK_COLUMNS} FROM std_books"),
-    "standardize_reviews": _with(f"SELECT {REVIEW_COLUMNS} FROM std_reviews"),
+    "standardize_reviews": _with(f"SELECT {REVIEW_COLUMNS} FROM std_reviews", every_text=True),
     "standardize_append": _with(
         f"""SELECT book_no, lower({_tidy("title")}) AS title, authors, publisher, published_date_raw, categories,
  ratings_count_raw, {_date("published_date_raw")} AS published_date,

@@ -33,3 +33,10 @@ def test_entry(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert {"title", "rating_band", "avg_review_score"} <= set(df.columns)
+
+
+def test_standardize_reviews_takes_every_text(spark, con):
+    texts = "SELECT count(*), sum(length(trim(text, ' '))) FROM lineitem JOIN documents ON l_orderkey = doc_id WHERE trim(text, ' ') <> ''"
+    found = QUERIES["standardize_reviews"](spark, tables_dir()).selectExpr("count(review_text)", "sum(char_length(review_text))").first()
+    whole = con.execute(texts).fetchone()
+    assert tuple(found) == whole
