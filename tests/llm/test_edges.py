@@ -305,6 +305,18 @@ def test_compact_windows_go_on_after_a_partner_that_fails(spark):
     assert sum(any(r.doc_id == 200 + g and r.partner_id == 100 + g and r.end - r.start == 70 for r in found) for g in range(40)) >= 39
 
 
+def test_compact_windows_link_every_smaller_document_that_differs(spark):
+    """A document that nearly repeats two others, which differ, is linked with both, not only with the smallest."""
+    rows = []
+    for group in range(40):
+        words = [f"g{group}w{i}" for i in range(120)]
+        edited = lambda name, at: " ".join(f"{name}{group}w{i}" if i == at else w for i, w in enumerate(words))
+        rows += [(group, " ".join(words)), (100 + group, edited("m", 40)), (200 + group, edited("l", 80))]
+    found = compact_windows.repeated_passages(spark.createDataFrame(rows, SCHEMA)).collect()
+    links = {(r.doc_id, r.partner_id) for r in found if r.end - r.start == 120}
+    assert sum((200 + g, p + g) in links for g in range(40) for p in (0, 100)) >= 79
+
+
 def test_passages_with_an_edited_word_beside_a_frequent_line():
     """Passages of 50 to 95 words with one edit, and a line beside them that the partner has elsewhere: brute force finds, so must we."""
     import random
