@@ -152,3 +152,28 @@ def test_book_flow(spark, tmp_path, monkeypatch):
     changed = flow.resume_flow(spark, assets, root, gate=False).built
     assert {n.split("/")[1] for n in changed} == {"silver_eligible", "silver_quarantine", "gold_books_serving_da"}
     assert layers.RELEASE not in Release(spark, root).tables
+
+
+def test_raw_files_and_layers_are_compressed(spark, tmp_path):
+    from pathlib import Path
+
+    from stackroom.plans import bookstore, flow, queries
+    from stackroom.sources.raw_csv import _wants_ranges, read_raw_csv
+    from stackroom.sources.versions import Versions
+
+    assets = queries._raw_files(spark, "/root/testdata/sf0.001", str(tmp_path / "flow"))
+    raw = assets.path(bookstore.REVIEWS, "raw_csv")
+    assert all(f.name.endswith(".csv.gz") for f in Path(raw).glob("part-*"))
+    options = bookstore.REVIEWS_CONTRACT.reader_options()
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        assert not _wants_ranges(spark, raw, options), "a compressed file has one range"
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    rows = read_raw_csv(spark, raw, bookstore.REVIEWS_CONTRACT).count()
+    written = flow.run_flow(spark, assets, str(tmp_path / "reports"), gate=False)
+    assert written[f"{bookstore.REVIEWS}/bronze_full"] == rows > 0
+    layers = [p for p in (tmp_path / "flow").rglob("*.parquet")]
+    Versions(spark, str(tmp_path / "table")).append(spark.range(3))
+    layers += (tmp_path / "table").rglob("*.parquet")
+    assert all(p.name.endswith(".zstd.parquet") for p in layers)
