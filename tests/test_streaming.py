@@ -2,12 +2,13 @@
 
 from dataclasses import replace
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from stackroom.operators.checks import Check, rows_with_repeated_key
 from stackroom.plans import bookstore as rules
-from stackroom.plans import flow
+from stackroom.plans import flow, queries
 from stackroom.streaming.tables import arrive, read_arriving, repeated_key_rows, write_arrived
 
 KEY = Check("u", "duplicate_key", "warning", key_columns=("k", "g"))
@@ -92,3 +93,15 @@ def test_stream_stays_a_stream(spark, place):
     stream = read_arriving(spark, place["in"], spark.createDataFrame([], SCHEMA).schema)
     assert stream.isStreaming and repeated_key_rows(stream, KEY).isStreaming
     assert write_arrived(stream, place["out"], place["checkpoint"]) == len(ROWS)
+
+
+def test_cores_share_the_two_files_of_a_batch(spark, tmp_path, monkeypatch):
+    """A task reads whole row groups, so files that arrive have several, and every batch keeps to two files."""
+    monkeypatch.setattr(queries, "new_folder", lambda spark, label: str(tmp_path / label))
+    lines = spark.range(0, 400_000, 1, 4).selectExpr("id", "sha2(cast(id as string), 256) x", "sha2(cast(-id as string), 256) y")
+    out = queries._in_drops(spark, None, "drops", lines, ("id % 2 = 0", "id % 2 = 1"), lambda stream: stream)
+    assert out.exceptAll(lines).isEmpty() and out.count() == 400_000
+    files = list((tmp_path / "drops" / "arriving").glob("*.parquet"))
+    assert len(files) == 8 and min(pq.ParquetFile(f).num_row_groups for f in files) > 1
+    batches = [n for n in (tmp_path / "drops" / "checkpoint" / "commits").iterdir() if n.name.isdigit()]
+    assert len(batches) == 4
