@@ -294,6 +294,27 @@ def test_outer_joins_take_whole_rows_once(spark, tmp_path, how):
     assert len(scans(chain)) == 1 + 2 * 4, "the first table once, the others twice"
 
 
+def test_a_full_join_works_out_the_keys_of_both_sides_once(spark, tmp_path):
+    spark.range(1000).selectExpr("id % 70 k", "id x").write.parquet(str(tmp_path / "l"))
+    spark.range(1000).selectExpr("id % 90 + 9 k", "id y").write.parquet(str(tmp_path / "r"))
+    left, right = (spark.read.parquet(str(tmp_path / side)) for side in "lr")
+    out = joins.equi_join(left, right, ["k"], "full")
+    assert "ReusedExchange" in final_plan(out)
+    native = left.join(right, "k", "full")
+    assert out.exceptAll(native).count() == native.exceptAll(out).count() == 0
+
+
+@pytest.mark.parametrize("how", ["right", "full"])
+def test_outer_joins_work_a_key_out_once_for_each_read(spark, tmp_path, how):
+    spark.range(100).selectExpr("if(id % 9 = 0, null, concat('k ', id % 7)) x").write.parquet(str(tmp_path / "l"))
+    left = spark.read.parquet(str(tmp_path / "l")).selectExpr("upper(trim(x)) k", "x")
+    right = spark.range(9).selectExpr("if(id = 3, null, concat('K ', id)) k", "id y")
+    out = joins.equi_join(left, right, ["k"], how)
+    assert "isnotnull(upper(" not in final_plan(out)
+    native = left.join(right, "k", how)
+    assert out.exceptAll(native).count() == native.exceptAll(out).count() == 0
+
+
 NAMES = ("__check", "key_check", "key_0", "left_0", "right_0", "group", "of_left", "in_left", "join_key_0", "first_row", "key_rows")
 
 
