@@ -1,11 +1,12 @@
-"""Byte-level BPE by Spark's higher-order functions, with a literal rank map, on distinct words.
+"""Byte-level BPE by Spark's higher-order functions, over a constant table of merges, on distinct words.
 
 Texts are cut into words by the tokenizer's pattern. Each distinct word is encoded once: a fold over the word's bytes
-merges, step by step, the leftmost adjacent pair of lowest rank. Bytes are handled as ISO-8859-1 characters, one for
-each byte, so that pieces are strings that Spark can look up, cut and join. The rank map is a literal: an array of
-small maps, chosen by a hash of the piece, since Spark searches a map from front to back. Words of more than
-``long_word`` bytes, for which a fold would take quadratic time, are merged by the same rules with a heap in a small
-helper. Decoding looks every id up in a literal list of pieces and concatenates them.
+merges, step by step, the leftmost adjacent pair of lowest rank. Pieces are numbers, their ranks: a pair of pieces is a
+key of the table of merges, whose value is the rank of the joined piece. The table is a column of one row, an array of
+small maps chosen by the remainder of the key, since Spark searches a map from front to back. A scalar subquery brings it
+into the expression, so that plans and their descriptions do not hold its text. Words of more than ``long_word`` bytes,
+for which a fold would take quadratic time, are merged by the same rules with a heap in a small helper, and a word that
+is a piece itself is looked up. Decoding looks every id up in the list of pieces and concatenates them.
 
 The most frequent words of all documents (``common_words`` of them, a fixed number, so that their table may go to every
 task) are encoded once for all. Every other word is encoded once in each document that has it, in place: no row is
@@ -16,19 +17,25 @@ from __future__ import annotations
 
 import base64
 import heapq
-import json
 from collections.abc import Callable
 from dataclasses import dataclass
 
-import pandas as pd
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from stackroom.functions.columns import free_name
+
 from .common import materialize, slices
 
 LATIN = "ISO-8859-1"
+#: Ranks are below this; a pair of pieces has the key left * SPAN + right.
+SPAN = 1 << 20
+#: Stands for the rank of pieces that do not join.
+NONE = SPAN - 1
 
 
 @dataclass(frozen=True)
@@ -39,7 +46,7 @@ class BpeSpec:
     pattern: str
     common_words: int = 300_000
     long_word: int = 256
-    buckets: int = 32_768
+    buckets: int = 131_071
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -57,74 +64,81 @@ def let(value: Column, then: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), then), F.lit(0))
 
 
-def bucket(piece: Column, buckets: int) -> Column:
-    return F.pmod(F.crc32(piece), F.lit(buckets)).cast("int")
-
-
 class RankMap:
-    """Ranks as a literal for Spark, and as a dictionary for the driver and long words."""
+    """Ranks as a table of one row for Spark, and as a dictionary for the driver, long words and pieces."""
 
     def __init__(self, spec: BpeSpec):
-        from zlib import crc32
-
         self.spec, self.ranks = spec, read_ranks(spec.ranks)
-        maps: list[dict[str, int]] = [{} for _ in range(spec.buckets)]
-        pieces = [""] * (max(self.ranks.values(), default=-1) + 1)
-        for piece, rank in self.ranks.items():
-            text = piece.decode("latin-1")
-            maps[crc32(text.encode()) % spec.buckets][text] = rank
-            pieces[rank] = text
-        self._literal = F.from_json(F.lit(json.dumps({"maps": maps, "pieces": pieces})), "maps array<map<string,int>>, pieces array<string>")
-
-    def use(self, then: Callable[[Merges], Column]) -> Column:
-        """An expression over the literal, which stands in the plan once."""
-        return let(self._literal, lambda bound: then(Merges(bound["maps"], bound["pieces"], self.spec.buckets)))
+        if max(self.ranks.values(), default=0) >= NONE:
+            raise ValueError(f"{spec.ranks}: ranks of {NONE} or more")
+        if missing := [b for b in range(256) if bytes([b]) not in self.ranks]:
+            raise ValueError(f"{spec.ranks}: no rank for bytes {missing}")
+
+    def merges(self, spark: SparkSession) -> DataFrame:
+        """One row, one column: merges (maps from the key of a pair to SPAN times the rank of both joined) and pieces by rank."""
+        ranks, buckets = self.ranks, self.spec.buckets
+        maps: list[dict[int, int]] = [{} for _ in range(buckets)]
+        pieces = [""] * (max(ranks.values()) + 1)
+        for piece, rank in ranks.items():
+            pieces[rank] = piece.decode("latin-1")
+            for i in range(1, len(piece)):
+                left, right = ranks.get(piece[:i]), ranks.get(piece[i:])
+                if left is not None and right is not None:
+                    key = left * SPAN + right
+                    maps[key % buckets][key] = rank * SPAN
+        return spark.createDataFrame([((maps, pieces),)], "merges struct<maps array<map<bigint,bigint>>, pieces array<string>>")
+
+    def use(self, rows: DataFrame, name: str, then: Callable[[Merges], Column]) -> DataFrame:
+        """``rows`` and an expression over the table. The optimizer puts the subquery in the place of its column, used once."""
+        table = free_name("merges", rows)
+        met = rows.withColumn(table, self.merges(rows.sparkSession).scalar())
+        found = let(F.col(table), lambda m: then(Merges(m["maps"], m["pieces"], self.spec.buckets)))
+        return met.select(*rows.columns, found.alias(name))
 
 
 @dataclass(frozen=True)
 class Merges:
-    """Encoding and decoding over a rank map (an array of maps from piece to rank) and a list of pieces by rank."""
+    """Encoding and decoding over merges (an array of maps) and a list of pieces by rank."""
 
     maps: Column
     pieces: Column
     buckets: int
 
-    def rank(self, piece: Column) -> Column:
-        """Rank of a piece, null if it has none."""
-        return F.try_element_at(F.get(self.maps, bucket(piece, self.buckets)), piece)
+    def scaled(self, left: Column, right: Column) -> Column:
+        """Rank of two pieces joined, times SPAN; that of NONE if it has none or if one of them is null."""
+        key = left * F.lit(SPAN) + right
+        found = F.try_element_at(F.get(self.maps, (key % F.lit(self.buckets)).cast("int")), key)
+        return F.coalesce(found, F.lit(NONE * SPAN))
 
     def merge(self, pieces: Column) -> Column:
         """The pieces of a word after all merges, from its single bytes."""
 
+        # An element is a piece, plus SPAN times the rank of it joined with the piece before: one array is cut and put
+        # together again at each step, which is most of the work.
+        def rank(element: Column) -> Column:
+            return F.shiftright(element, 20)
+
+        def piece(element: Column) -> Column:
+            return element.bitwiseAND(F.lit(SPAN - 1))
+
         def step(state: Column, _: Column) -> Column:
             return let(
-                F.array_min(state["r"]),
-                lambda least: F.when(least.isNull(), state).otherwise(
-                    let(F.array_position(state["r"], least).cast("int"), lambda at: merged(state["p"], state["r"], at))
+                rank(F.array_min(state)),
+                lambda least: F.when(least == NONE, state).otherwise(
+                    let(F.array_position(F.transform(state, rank), least).cast("int"), lambda at: merged(state, least, at))
                 ),
             )
 
-        def merged(p: Column, r: Column, at: Column) -> Column:
-            def joined(piece: Column) -> Column:
-                none = F.array().cast("array<int>")
-                left = F.when(at > 1, F.array(self.rank(F.concat(F.get(p, at - 2), piece)))).otherwise(none)
-                right = F.when(at + 1 < F.size(p), F.array(self.rank(F.concat(piece, F.get(p, at + 1))))).otherwise(none)
-                ranks = F.concat(F.slice(r, F.lit(1), F.greatest(at - 2, F.lit(0))), left, right, F.slice(r, at + 2, F.size(r)))
-                parts = F.concat(F.slice(p, F.lit(1), at - 1), F.array(piece), F.slice(p, at + 2, F.size(p)))
-                return F.struct(parts.alias("p"), ranks.alias("r"))
-
-            return let(F.concat(F.get(p, at - 1), F.get(p, at)), joined)
+        def merged(x: Column, least: Column, at: Column) -> Column:
+            new = F.array(self.scaled(piece(F.get(x, at - 3)), least) + least)
+            after = piece(F.get(x, at))
+            after = F.when(at < F.size(x), F.array(self.scaled(least, after) + after)).otherwise(F.array().cast("array<bigint>"))
+            return F.flatten(F.array(F.slice(x, F.lit(1), at - 2), new, after, F.slice(x, at + 2, F.size(x))))
 
-        pairs = F.transform(F.sequence(F.lit(0), F.size(pieces) - 2), lambda i: self.rank(F.concat(F.get(pieces, i), F.get(pieces, i + 1))))
-        start = F.struct(pieces.alias("p"), pairs.alias("r"))
-        return F.aggregate(F.sequence(F.lit(2), F.size(pieces)), start, step)["p"]
-
-    def encode(self, word: Column) -> Column:
-        """Ids of a word (ISO-8859-1 characters for its bytes)."""
-        whole = self.rank(word)
-        single = F.transform(F.sequence(F.lit(1), F.length(word)), lambda i: F.substring(word, i, F.lit(1)))
-        folded = let(single, lambda bytes_: F.transform(self.merge(bytes_), self.rank))
-        return F.when(whole.isNotNull() | (F.length(word) < 2), F.array(whole)).otherwise(folded)
+        bytes_ = pieces.cast("array<bigint>")
+        start = let(bytes_, lambda p: F.transform(p, lambda q, i: self.scaled(F.get(p, i - 1), q) + q))
+        folded = F.aggregate(F.sequence(F.lit(2), F.size(pieces)), start, step)
+        return F.when(F.size(pieces) < 2, pieces).otherwise(F.transform(folded, lambda x: piece(x).cast("int")))
 
     def decode(self, ids: Column) -> Column:
         """The bytes of a list of ids."""
@@ -156,25 +170,41 @@ def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[p] for p in pieces if p is not None]
 
 
-def encode_words(words: DataFrame, maps: RankMap) -> DataFrame:
-    """word, ids (decimal, joined by commas) and decoded (the ids' bytes) for each row of distinct ``words``."""
-    spec, ranks = maps.spec, maps.ranks
+def byte_ids(ranks: dict[bytes, int]) -> np.ndarray:
+    """The rank of each byte."""
+    return np.array([ranks[bytes([b])] for b in range(256)], np.int32)
 
-    @F.pandas_udf("array<int>")
-    def long_ids(raw: pd.Series) -> pd.Series:
-        return raw.map(lambda w: merge_long(bytes(w), ranks))
 
-    def coded(m: Merges, tokens: Column) -> Column:
-        return let(tokens, lambda ids: F.struct(joined_ids(ids).alias("ids"), m.decode(ids).cast("string").alias("decoded")))
+def single_bytes(words: pa.StringArray, ids: np.ndarray) -> pa.ListArray:
+    """The ranks of each word's bytes. ``words`` is no slice of another array."""
+    _, ends, raw = words.buffers()
+    ends = np.frombuffer(ends, np.int32)[: len(words) + 1]
+    raw = np.frombuffer(raw or b"", np.uint8)[: ends[-1]]
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(ids[raw]))
 
-    raw = F.encode("word", "UTF-8")
-    is_long = F.length(raw) > spec.long_word
-    # One expression has the literal; words of both kinds go through it.
-    rows = words.where(~is_long).select("word", F.lit(None).cast("array<int>").alias("tokens"))
-    rows = rows.unionByName(words.where(is_long).select("word", long_ids(raw).alias("tokens")))
-    folded = F.when(F.col("tokens").isNull(), latin_bytes(F.col("word")))
-    found = maps.use(lambda m: coded(m, F.when(F.col("tokens").isNotNull(), F.col("tokens")).otherwise(let(folded, m.encode))))
-    return rows.select("word", F.inline(F.array(found)))
+
+def encode_words(words: DataFrame, maps: RankMap) -> DataFrame:
+    """word, n_ids, ids (decimal, joined by commas) and decoded (the ids' bytes) for each row of distinct ``words``."""
+    ranks, long_word = maps.ranks, maps.spec.long_word
+
+    def run(batches):
+        singles = byte_ids(ranks)
+        for batch in slices(batches, 4096):
+            texts = batch.column(0).to_pylist()
+            raw = [t.encode() for t in texts]
+            done = [merge_long(w, ranks) if len(w) > long_word or w in ranks else None for w in raw]
+            bytes_ = single_bytes(pa.array([t if d is None else "" for t, d in zip(texts, done)], pa.string()), singles)
+            yield pa.record_batch([batch.column(0), pa.array(done, pa.list_(pa.int32())), bytes_], names=["word", "done", "bytes"])
+
+    def coded(m: Merges) -> Column:
+        tokens = F.coalesce(F.col("done"), m.merge(F.col("bytes")))
+        return let(
+            tokens,
+            lambda ids: F.struct(F.size(ids).alias("n_ids"), joined_ids(ids).alias("ids"), m.decode(ids).cast("string").alias("decoded")),
+        )
+
+    rows = words.select("word").mapInArrow(run, "word string, done array<int>, bytes array<int>")
+    return maps.use(rows, "coded", coded).select("word", "coded.*")
 
 
 def word_table(words: DataFrame) -> bytes:
@@ -189,60 +219,90 @@ def word_table(words: DataFrame) -> bytes:
 def split_known(rows: DataFrame, table: bytes, maps: RankMap) -> DataFrame:
     """Each document as pieces of known ids and texts, with the words between them that are still to be encoded.
 
-    ``rare`` lists each unknown word of the document once; ``which`` says which of them stands after each piece.
+    ``rare`` lists each unknown word of the document once, as the ranks of its bytes; ``which`` says which of them stands
+    after each piece.
     """
     shared, ranks, long_word = rows.sparkSession.sparkContext.broadcast(table), maps.ranks, maps.spec.long_word
-    texts = {rank: piece for piece, rank in ranks.items()}
     schema = pa.schema(
         [
             ("n_known", pa.int64()), ("ids", pa.list_(pa.string())), ("texts", pa.list_(pa.string())),
-            ("which", pa.list_(pa.int32())), ("rare", pa.list_(pa.string())),
+            ("which", pa.list_(pa.int32())), ("rare", pa.list_(pa.list_(pa.int32()))),
         ]
     )
 
-    def long_word_ids(word):
-        raw = word.encode()
-        if len(raw) <= long_word:
-            return None
-        ids = merge_long(raw, ranks)
-        return ",".join(map(str, ids)), b"".join(texts[i] for i in ids).decode("utf-8", "replace")
-
-    def split(words, known, odd):
-        found = [ids and (ids, odd.get(w, w)) for w, ids in zip(words, map(known.get, words))]
-        gaps = [i for i, hit in enumerate(found) if hit is None]
-        for i in gaps:
-            if len(words[i]) > long_word // 4:
-                found[i] = long_word_ids(words[i])
-        gaps = [i for i in gaps if found[i] is None]
-        rare: dict[str, int] = {}
-        which = [rare.setdefault(words[i], len(rare)) for i in gaps]
-        runs = [found[a + 1 : b] for a, b in zip([-1, *gaps], [*gaps, len(words)])]
-        ids = [",".join([hit[0] for hit in run]) for run in runs]
-        count = sum(x.count(",") + 1 for x in ids if x)
-        return count, ids, ["".join([hit[1] for hit in run]) for run in runs], which, list(rare)
+    def known_words() -> tuple[dict[str, int], pa.Array, pa.Array, np.ndarray]:
+        """Row of each known word (the common ones, and pieces that are whole words) in ids, texts and numbers of ids."""
+        common = pa.ipc.open_stream(shared.value).read_all().combine_chunks()
+        place = {word: i for part in common["word"].chunks for i, word in enumerate(part.to_pylist())}
+        more = {}
+        for piece, rank in ranks.items():
+            try:
+                word = piece.decode()
+            except UnicodeDecodeError:
+                continue
+            if word not in place:
+                more[word] = str(rank)
+        place.update(zip(more, range(len(place), len(place) + len(more))))
+        ids = pa.concat_arrays([*common["ids"].chunks, pa.array(more.values(), pa.string())])
+        texts = pa.concat_arrays([*common["decoded"].chunks, pa.array(more.keys(), pa.string())])
+        return place, ids, texts, np.append(common["n_ids"].to_numpy(), np.ones(len(more), np.int64))
+
+    def found(words: pa.Array, known: tuple, texts_of: dict[int, bytes]) -> tuple[pa.Array, pa.Array, np.ndarray]:
+        """ids, texts and numbers of ids of distinct words; 0 ids where a word is still to be encoded."""
+        place, ids, texts, count = known
+        row = np.array([place.get(w, -1) for w in words.to_pylist()], np.int64)
+        at = pa.array(row, mask=row < 0)
+        ids, texts, count = ids.take(at), texts.take(at), np.where(row < 0, 0, count[row])
+        long = (row < 0) & (pc.binary_length(words).to_numpy() > long_word)
+        if long.any():
+            merged = [merge_long(w.encode(), ranks) for w in words.filter(pa.array(long)).to_pylist()]
+            ids = pc.replace_with_mask(ids, long, pa.array([",".join(map(str, m)) for m in merged]))
+            decoded = [b"".join(texts_of[i] for i in m).decode("utf-8", "replace") for m in merged]
+            texts = pc.replace_with_mask(texts, long, pa.array(decoded))
+            count[long] = list(map(len, merged))
+        return ids, texts, count
+
+    def split(words: pa.ListArray, known: tuple, singles: np.ndarray, texts_of: dict[int, bytes]) -> list[pa.Array]:
+        flat = words.flatten().cast(pa.string()).dictionary_encode()
+        ends = np.cumsum([0, *words.value_lengths().to_numpy()])
+        distinct, at = flat.dictionary, flat.indices.to_numpy()
+        ids, texts, count = found(distinct, known, texts_of)
+        count = count[at]
+        gaps = np.flatnonzero(count == 0)
+        before = np.cumsum(np.append(0, count != 0))  # known words before each place
+        # A run of known words begins with its document or after a gap; it may be empty.
+        runs = np.sort(np.concatenate([ends[:-1], gaps]), kind="stable")
+        run_ends = pa.array(np.append(before[runs], before[-1]).astype(np.int32))
+        kept = pa.array(at[count != 0])
+        gap_ends = np.searchsorted(gaps, ends)
+        per_text = pa.array((gap_ends + np.arange(len(ends))).astype(np.int32))
+
+        def joined(values: pa.Array, mark: str) -> pa.Array:
+            return pa.ListArray.from_arrays(per_text, pc.binary_join(pa.ListArray.from_arrays(run_ends, values.take(kept)), mark))
+
+        owner = np.repeat(np.arange(len(words)), np.diff(gap_ends))
+        pairs, which = np.unique(owner * len(distinct) + at[gaps], return_inverse=True)
+        rare_ends = np.searchsorted(pairs, np.arange(len(words) + 1) * len(distinct))
+        rare = single_bytes(pc.take(distinct, pa.array(pairs % max(len(distinct), 1))), singles)
+        return [
+            pa.array(np.diff(np.cumsum(np.append(0, count))[ends])),
+            joined(ids, ","),
+            joined(texts, ""),
+            pa.ListArray.from_arrays(pa.array(gap_ends.astype(np.int32)), pa.array((which - rare_ends[owner]).astype(np.int32))),
+            pa.ListArray.from_arrays(pa.array(rare_ends.astype(np.int32)), rare),
+        ]
 
     def run(batches):
-        # Ids by word, and the few texts that differ from their word once decoded: every worker holds this.
-        known, odd = {}, {}
-        for part in slices(pa.ipc.open_stream(shared.value), 4096):
-            word, ids, decoded = (part.column(c).to_pylist() for c in ("word", "ids", "decoded"))
-            known.update(zip(word, ids))
-            odd.update((w, d) for w, d in zip(word, decoded) if w != d)
-        for batch in slices(batches, 64):
-            out = [split(words, known, odd) for words in batch.column(1).to_pylist()]
-            columns = list(zip(*out)) if out else [[] for _ in schema]
-            pieces = [pa.array(c, f.type) for c, f in zip(columns, schema)]
-            yield pa.record_batch([batch.column(0), *pieces], names=["row", *schema.names])
+        known, singles, texts_of = known_words(), byte_ids(ranks), {rank: piece for piece, rank in ranks.items()}
+        for batch in slices(batches):
+            columns = [c.cast(f.type) for c, f in zip(split(batch.column(1), known, singles, texts_of), schema)]
+            yield pa.record_batch([batch.column(0), *columns], names=["row", *schema.names])
 
     rows = rows.select("row", words_of(F.col("text"), maps.spec.pattern).alias("words"))
-    types = StructType.fromDDL("n_known long, ids array<string>, texts array<string>, which array<int>, rare array<string>")
+    types = StructType.fromDDL("n_known long, ids array<string>, texts array<string>, which array<int>, rare array<array<int>>")
     return rows.mapInArrow(run, StructType([rows.schema["row"], *types.fields]))
 
 
-def latin_bytes(word: Column) -> Column:
-    return F.decode(F.encode(word, "UTF-8"), LATIN)
-
-
 def joined_ids(ids: Column) -> Column:
     return F.array_join(ids.cast("array<string>"), ",")
 
@@ -273,6 +333,5 @@ def encode_documents(docs: DataFrame, spec: BpeSpec, keep: tuple[str, ...] = ())
             F.array_join(between("texts", lambda ids: merges.decode(ids).cast("string")), "").alias("decoded"),
         )
 
-    coded = maps.use(lambda m: let(F.transform("rare", lambda w: let(latin_bytes(w), m.encode)), lambda ids: whole(m, ids)))
-    # A generator computes the three columns together; as a projection each would fold all words for itself.
-    return parts.select("row", F.inline(F.array(coded))).select("row.*", "n_tokens", "ids", "decoded")
+    coded = maps.use(parts, "coded", lambda m: let(F.transform("rare", m.merge), lambda ids: whole(m, ids)))
+    return coded.select("row.*", "coded.*")

@@ -403,6 +403,14 @@ def test_long_words_stay_out_of_the_table_of_common_words(spark, monkeypatch):
     assert "ab" in held[0] and max(len(w.encode()) for w in held[0]) <= 64
 
 
+def test_merges_are_no_part_of_a_plans_text(spark, docs):
+    import public_tokenizers
+
+    spec = byte_bpe.BpeSpec(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    plan = byte_bpe.encode_documents(docs, spec)._jdf.queryExecution().toString()
+    assert "scalar-subquery" in plan and len(plan) < 100_000
+
+
 CLASHES = ("__head", "head", "__id", "__hash", "found", "docs", "__spans", "__check", "__blob", "blob", "text_hash", "h", "d", "row")
 
 
