@@ -1,6 +1,7 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables and clashing column names."""
 
 import brute
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -411,6 +412,25 @@ def test_merges_are_no_part_of_a_plans_text(spark, docs):
     assert "scalar-subquery" in plan and len(plan) < 100_000
 
 
+def test_equal_pieces_of_texts_of_any_length_have_equal_hashes_and_anchors():
+    spec, piece = bwt_dedup.SubstringSpec(), bytes(range(65, 125))
+    short, long = b"1234" + piece, b"other words before " + piece + b" and after"
+    at = [4], [19]
+    hashes = [bwt_dedup.segment_hashes(raw, np.array(i), np.array([60])) for raw, i in zip((short, long), at)]
+    assert hashes[0] == hashes[1]
+    anchors = [bwt_dedup.string_anchors(raw, spec)[i[0] : i[0] + 11] for raw, i in zip((short, long), at)]
+    assert (anchors[0] == anchors[1]).all()
+
+
+def test_strings_that_share_only_a_short_piece_have_other_anchors():
+    """A piece of ``gram`` bytes that many texts have does not bring all their strings together."""
+    spec, common = bwt_dedup.SubstringSpec(), b"sixteen bytes it"
+    rng = np.random.default_rng(1)
+    texts = [bytes(rng.integers(0, 256, 60, np.uint8)) + common + bytes(rng.integers(0, 256, 60, np.uint8)) for _ in range(40)]
+    sets = [set(bwt_dedup.string_anchors(t, spec).tolist()) for t in texts]
+    assert not any(a & b for i, a in enumerate(sets) for b in sets[:i])
+
+
 CLASHES = ("__head", "head", "__id", "__hash", "found", "docs", "__spans", "__check", "__blob", "blob", "text_hash", "h", "d", "row")
 
 
