@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+from array import array
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -69,24 +70,37 @@ class RankMap:
 
     def __init__(self, spec: BpeSpec):
         self.spec, self.ranks = spec, read_ranks(spec.ranks)
+        self.table: DataFrame | None = None
         if max(self.ranks.values(), default=0) >= NONE:
             raise ValueError(f"{spec.ranks}: ranks of {NONE} or more")
         if missing := [b for b in range(256) if bytes([b]) not in self.ranks]:
             raise ValueError(f"{spec.ranks}: no rank for bytes {missing}")
 
     def merges(self, spark: SparkSession) -> DataFrame:
-        """One row, one column: merges (maps from the key of a pair to SPAN times the rank of both joined) and pieces by rank."""
-        ranks, buckets = self.ranks, self.spec.buckets
-        maps: list[dict[int, int]] = [{} for _ in range(buckets)]
-        pieces = [""] * (max(ranks.values()) + 1)
-        for piece, rank in ranks.items():
-            pieces[rank] = piece.decode("latin-1")
-            for i in range(1, len(piece)):
-                left, right = ranks.get(piece[:i]), ranks.get(piece[i:])
-                if left is not None and right is not None:
-                    key = left * SPAN + right
-                    maps[key % buckets][key] = rank * SPAN
-        return spark.createDataFrame([((maps, pieces),)], "merges struct<maps array<map<bigint,bigint>>, pieces array<string>>")
+        """One row, one column: merges (maps from the key of a pair to SPAN times the rank of both joined) and pieces by rank.
+
+        It goes to Spark as Arrow: as Python objects the maps take several times their size on the driver.
+        """
+        if self.table is None:
+            ranks, buckets = self.ranks, self.spec.buckets
+            keys, values = array("q"), array("q")
+            pieces = [""] * (max(ranks.values()) + 1)
+            for piece, rank in ranks.items():
+                pieces[rank] = piece.decode("latin-1")
+                for i in range(1, len(piece)):
+                    left, right = ranks.get(piece[:i]), ranks.get(piece[i:])
+                    if left is not None and right is not None:
+                        keys.append(left * SPAN + right)
+                        values.append(rank * SPAN)
+            key, value = np.frombuffer(keys, np.int64), np.frombuffer(values, np.int64)
+            bucket = key % buckets
+            order = np.argsort(bucket, kind="stable")
+            ends = np.cumsum(np.append(0, np.bincount(bucket, minlength=buckets))).astype(np.int32)
+            maps = pa.MapArray.from_arrays(pa.array(ends), pa.array(key[order]), pa.array(value[order]))
+            whole = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (maps, pa.array(pieces, pa.string()))]
+            row = pa.StructArray.from_arrays(whole, names=["maps", "pieces"])
+            self.table = spark.createDataFrame(pa.table({"merges": row}))
+        return self.table
 
     def use(self, rows: DataFrame, name: str, then: Callable[[Merges], Column]) -> DataFrame:
         """``rows`` and an expression over the table. The optimizer puts the subquery in the place of its column, used once."""
@@ -208,11 +222,12 @@ def encode_words(words: DataFrame, maps: RankMap) -> DataFrame:
 
 
 def word_table(words: DataFrame) -> bytes:
-    """Encoded words as one Arrow stream, for tasks to read."""
+    """Encoded words as one Arrow stream, for tasks to read; compressed, since the driver holds it several times."""
     table = words.toArrow()
     out = pa.BufferOutputStream()
-    with pa.ipc.new_stream(out, table.schema) as stream:
+    with pa.ipc.new_stream(out, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
         stream.write_table(table)
+    del table
     return out.getvalue().to_pybytes()
 
 
