@@ -431,6 +431,44 @@ def test_strings_that_share_only_a_short_piece_have_other_anchors():
     assert not any(a & b for i, a in enumerate(sets) for b in sets[:i])
 
 
+def test_anchors_of_texts_together_are_those_of_each():
+    rng = np.random.default_rng(2)
+    spec, texts = bwt_dedup.SubstringSpec(), [bytes(rng.integers(0, 3, n, np.uint8)) for n in (0, 49, 50, 400, 0, 51, 20_000, 120)] + [b"a" * 300] * 2 + [b""]
+    assert [texts[part] for part in bwt_dedup.packs(texts, 500)] == [texts[:5], texts[5:6], texts[6:7], texts[7:9], texts[9:]]
+    start, strings, anchors, of = bwt_dedup.anchor_runs(texts, spec)
+    begin = np.cumsum([0, *map(len, texts)])
+    for i, text in enumerate(texts):
+        mine = of == i
+        assert np.array_equal(np.repeat(anchors[mine], strings[mine]), bwt_dedup.string_anchors(text, spec))
+        assert strings[mine].sum() == max(len(text) - spec.size + 1, 0) and (start[mine] >= begin[i]).all()
+    run, first, count = bwt_dedup.segment_runs(start, strings, spec)
+    assert count.max() <= spec.most_strings and np.array_equal(np.bincount(run, count), strings) and (np.diff(first) > 0).all()
+
+
+@pytest.mark.parametrize("size", [16, 49, 50])
+def test_least_owners_of_many_shards(size):
+    """With an even and an odd number of rounds, zero bytes, and segments that begin and end alike."""
+    rng, spec = np.random.default_rng(size), bwt_dedup.SubstringSpec(size=size, shard_rows=7)
+    segments = list({bytes(rng.integers(0, 2, rng.integers(size, size + 30), np.uint8)) for _ in range(60)} | {b"\x00" * (size + i) for i in range(9)})
+    segments += [s[:-1] + b"z" for s in segments if s[-1:] != b"z" and len(s) > size]
+    owners, least = rng.integers(0, 1000, len(segments)), {}
+    for s, o in zip(segments, owners.tolist()):
+        for i in range(len(s) - size + 1):
+            least[s[i : i + size]] = min(o, least.get(s[i : i + size], o))
+    found = bwt_dedup.least_owners(segments, owners, spec)
+    assert [f.tolist() for f in found] == [[least[s[i : i + size]] for i in range(len(s) - size + 1)] for s in segments]
+
+
+def test_owners_that_are_the_same_are_no_list(spark):
+    """Of a segment whose strings all have one least owner only that one is kept."""
+    spec, a, b = bwt_dedup.SubstringSpec(), b"x" * 30 + PASSAGE.encode()[:40], b"y" * 30 + PASSAGE.encode()[:40]
+    rows = [(1, 1, a, 5), (1, 2, b, 3), (2, 3, b"z" * 60, 9), (3, 4, PASSAGE.encode()[50:120], 4), (3, 5, PASSAGE.encode()[51:121], 2)]
+    found = bwt_dedup.merged_buckets(spark.createDataFrame(rows, "anchor long, hash long, segment binary, first long"), 1, spec)
+    found = {r.hash: (r.least, r.strings, r.firsts) for r in found.collect()}
+    assert found[3] == (9, 11, None) and found[5] == (2, 21, None) and found[4] == (2, 21, [4] + [2] * 20)
+    assert found[1] == (5, 21, None) and found[2] == (3, 21, None)
+
+
 CLASHES = ("__head", "head", "__id", "__hash", "found", "docs", "__spans", "__check", "__blob", "blob", "text_hash", "h", "d", "row")
 
 
