@@ -20,6 +20,7 @@ from pyspark.sql.types import StructType
 
 from stackroom.functions.columns import all_of, field
 from stackroom.operators.checks import Check
+from stackroom.sources.tables import LAYER_SETTINGS, writer_options
 
 # Tasks get the functions here along with their work, so executors need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -34,6 +35,8 @@ def read_arriving(spark: SparkSession, folder: str, schema: StructType, files_at
 def write_arrived(stream: DataFrame, output: str, checkpoint: str) -> int:
     """Append what has arrived to the parquet table ``output``; returns the rows read. One checkpoint belongs to one output."""
     writer = stream.writeStream.format("parquet").option("path", output).option("checkpointLocation", checkpoint)
+    for name, value in writer_options(LAYER_SETTINGS).items():
+        writer = writer.option(name, value)
     query = writer.outputMode("append").trigger(availableNow=True).start()
     query.awaitTermination()
     return sum(p["numInputRows"] if isinstance(p, dict) else p.numInputRows for p in query.recentProgress)

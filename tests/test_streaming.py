@@ -1,6 +1,8 @@
 """Files that keep arriving: the rows of one batch run, whatever the drops, also after a stop and a restart."""
 
+import random
 from dataclasses import replace
+from pathlib import Path
 
 import pyarrow.parquet as pq
 import pytest
@@ -105,3 +107,14 @@ def test_cores_share_the_two_files_of_a_batch(spark, tmp_path, monkeypatch):
     assert len(files) == 8 and min(pq.ParquetFile(f).num_row_groups for f in files) > 1
     batches = [n for n in (tmp_path / "drops" / "checkpoint" / "commits").iterdir() if n.name.isdigit()]
     assert len(batches) == 4
+
+
+def test_a_table_that_arrives_holds_a_repeated_text_once(spark, place):
+    """2 MB of texts, each as 8 kB of hexadecimal digits, four times over, a hundred others between."""
+    texts = [(i, random.Random(i // 400 * 100 + i % 100).randbytes(4000).hex()) for i in range(2000)]
+    schema = "i int, x string"
+    spark.createDataFrame(texts, schema).coalesce(1).write.parquet(place["in"])
+    run(spark, place, lambda s: s, spark.createDataFrame([], schema).schema)
+    files = list(Path(place["out"]).glob("*.parquet"))
+    assert sum(f.stat().st_size for f in files) < 4e6 and spark.read.parquet(place["out"]).exceptAll(spark.createDataFrame(texts, schema)).isEmpty()
+    assert {pq.ParquetFile(f).metadata.row_group(0).column(1).compression for f in files if pq.ParquetFile(f).num_row_groups} == {"ZSTD"}
