@@ -11,6 +11,7 @@ from stackroom.plans import bookstore as rules
 from stackroom.plans import flow, layers
 from stackroom.plans.fixtures import raw_books, raw_reviews
 from stackroom.plans.layers import Layer, Release, Source, run_layers
+from stackroom.sources.tables import LAYER_SETTINGS, Assets
 
 
 class Stopped(Exception):
@@ -177,3 +178,18 @@ def test_raw_files_and_layers_are_compressed(spark, tmp_path):
     Versions(spark, str(tmp_path / "table")).append(spark.range(3))
     layers += (tmp_path / "table").rglob("*.parquet")
     assert all(p.name.endswith(".zstd.parquet") for p in layers)
+
+
+def test_layers_of_the_flow_are_written_with_the_settings_of_layers(spark, tmp_path):
+    class First(Assets):
+        def write(self, df, dataset, asset, path=None, **options):
+            raise Stopped(options)
+
+    assets = First(flow.assets_under(str(tmp_path)).paths)
+    raw = tmp_path / rules.BOOKS / "raw_csv"
+    raw.mkdir(parents=True)
+    names = [source for source, _ in rules.BOOKS_CONTRACT.columns]
+    (raw / "books.csv").write_text(",".join(names) + "\n" + ",".join("x" for _ in names) + "\n")
+    with pytest.raises(Stopped) as stop:
+        flow.run_flow(spark, assets, str(tmp_path / "reports"))
+    assert LAYER_SETTINGS.items() <= stop.value.args[0].items()
