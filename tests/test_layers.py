@@ -1,5 +1,6 @@
 """Layered runs: resume after a stop, rebuild what has changed, and show readers one run at a time."""
 
+import random
 from dataclasses import replace
 
 import pytest
@@ -12,6 +13,7 @@ from stackroom.plans import flow, layers
 from stackroom.plans.fixtures import raw_books, raw_reviews
 from stackroom.plans.layers import Layer, Release, Source, run_layers
 from stackroom.sources.tables import LAYER_SETTINGS, Assets
+from stackroom.sources.versions import Versions
 
 
 class Stopped(Exception):
@@ -193,3 +195,12 @@ def test_layers_of_the_flow_are_written_with_the_settings_of_layers(spark, tmp_p
     with pytest.raises(Stopped) as stop:
         flow.run_flow(spark, assets, str(tmp_path / "reports"))
     assert LAYER_SETTINGS.items() <= stop.value.args[0].items()
+
+
+def test_a_version_holds_a_repeated_text_once(spark, tmp_path):
+    """2 MB of texts, each as 8 kB of hexadecimal digits, four times over, a hundred others between."""
+    texts = [(i, random.Random(i // 400 * 100 + i % 100).randbytes(4000).hex()) for i in range(2000)]
+    store = Versions(spark, str(tmp_path / "table"))
+    store.replace(spark.createDataFrame(texts, "i int, x string").coalesce(1))
+    assert sum(f.stat().st_size for f in (tmp_path / "table").rglob("*.parquet")) < 4e6
+    assert {tuple(r) for r in store.read().collect()} == set(texts)
